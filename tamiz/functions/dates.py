@@ -82,15 +82,14 @@ def calendar_attributes(date: Column) -> dict[str, Column]:
     }
 
 
-def _time_of_day(stamp: Column) -> Column:
-    return stamp - stamp.cast("date").cast("timestamp_ntz")
-
-
 def duration_days(start: Column, end: Column) -> Column:
-    """Whole days from start to end, rounded down, without any time zone."""
-    start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
-    days = F.date_diff(end.cast("date"), start.cast("date"))
-    return days - F.when(_time_of_day(end) < _time_of_day(start), 1).otherwise(0)
+    """Whole days from start to end, rounded down, without any time zone.
+
+    Each date is named once: a parsed date that a filter copies stays one parse.
+    """
+    span = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    seconds = span.cast("interval second").cast("decimal(24,6)")
+    return F.floor(seconds / 86_400).cast("int")
 
 
 def duration_months(days: Column) -> Column:

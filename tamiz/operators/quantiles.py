@@ -40,8 +40,11 @@ def exact_quantiles(
     number = (F.col(value) if isinstance(value, str) else value).cast("double")
     repeats = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = (
-        df.select(*by, number.alias(_VALUE), *([weight] if weight else []))
-        .filter(F.col(_VALUE).isNotNull() & ~F.isnan(_VALUE))
+        df.select(
+            *by, F.nanvl(number, F.lit(None).cast("double")).alias(_VALUE),
+            *([weight] if weight else []),
+        )
+        .filter(F.col(_VALUE).isNotNull())
         .groupBy(*by, _VALUE)
         .agg(repeats.alias(_COUNT))
     )

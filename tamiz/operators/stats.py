@@ -13,8 +13,7 @@ from tamiz.operators.quantiles import exact_quantiles
 
 def _number(column: str) -> Column:
     """The column as a double, with NaN as null."""
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
 def _long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -228,9 +227,11 @@ def duration_distribution(df: DataFrame, months: str) -> DataFrame:
         bin_duration_order(F.col(months)).alias("position"), bin_duration(F.col(months)).alias("label")
     )
     total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
+    # The test for a bin is on a count: a test on the label would be copied,
+    # with the whole computation of the span, into the scan.
     return (
-        binned.filter(F.col("label").isNotNull())
-        .groupBy("position", "label").agg(F.count(F.lit(1)).alias("n"))
+        binned.groupBy("position").agg(F.max("label").alias("label"), F.count("label").alias("n"))
+        .filter(F.col("n") > 0)
         .withColumn("pct", percent_of(F.col("n"), total))
         .orderBy("position")
     )

@@ -106,7 +106,10 @@ def build_dim_applicant(datasets: Datasets) -> DataFrame:
         datasets["postulante"], "ID_POSTULANTE",
         ("EDAD", "SEXO", "UBIGEO", "ESTADO_CONADIS"), "postulante_sk",
     )
-    renamed = keyed.withColumnRenamed("ID_POSTULANTE", "id_postulante_original")
+    renamed = keyed.withColumnsRenamed({
+        "ID_POSTULANTE": "id_postulante_original", "EDAD": "edad", "SEXO": "sexo",
+        "UBIGEO": "ubigeo", "ESTADO_CONADIS": "estado_conadis",
+    })
     return conform(renamed, WAREHOUSE["dim_postulante"])
 
 

@@ -54,8 +54,10 @@ def disability_analysis(df: DataFrame) -> dict[str, DataFrame]:
 
 def with_durations(df: DataFrame, start: str = "FECHAINICIO", end: str = "FECHAFIN") -> DataFrame:
     """Parsed dates, and the span between them in days, months and years."""
+    types = dict(df.dtypes)
     dated = df.withColumns({
-        f"{c}_parsed": parse_dates(F.col(c).cast("string")) for c in (start, end)
+        f"{c}_parsed": parse_dates(F.col(c)) if types[c] == "string" else F.col(c).cast("timestamp_ntz")
+        for c in (start, end)
     })
     days = duration_days(F.col(f"{start}_parsed"), F.col(f"{end}_parsed"))
     return dated.withColumn("duracion_dias", days).withColumns({
