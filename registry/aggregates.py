@@ -184,7 +184,8 @@ def _(spark, sf):
 
 
 @query("group_stats_by_customer", """
-    SELECT o_custkey, round(avg(o_totalprice), 2) AS mean, round(stddev_samp(o_totalprice), 2) AS std,
+    SELECT o_custkey, round_even(avg(o_totalprice), 2) AS mean,
+           round_even(stddev_samp(o_totalprice), 2) AS std,
            count(o_totalprice) AS count, median(o_orderkey) AS median_key
     FROM orders GROUP BY o_custkey""")
 def _(spark, sf):

@@ -22,5 +22,12 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table; its footer is read for the schema once per session."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{folder}/{name}.parquet")
+    return _TABLES[key]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from registry.base import table
 from tamiz.plans.cleaning import clean_dataset
-from tamiz.session import materialize
+from tamiz.session import build_together, materialize
 
 
 def _day_first(expr: str) -> str:
@@ -28,9 +28,8 @@ def _whole(expr: str) -> str:
 
 
 LINE_ORDER = (
-    "lpad(CAST(l.l_linenumber AS STRING), 3, '0') || lpad(CAST(l.l_partkey AS STRING), 14, '0')"
-    " || lpad(CAST(l.l_suppkey AS STRING), 14, '0')"
-    f" || lpad({_whole('l.l_extendedprice * 100')}, 14, '0')"
+    "CAST(l.l_linenumber AS BIGINT) * 1000000000000000 + l.l_partkey * 100000000"
+    " + CAST(floor(l.l_extendedprice * 100) AS BIGINT)"
 )
 
 UBIGEO = (
@@ -85,7 +84,7 @@ RAW: dict[str, tuple[tuple[str, ...], str]] = {
                     AS FECHAINICIO,
                CASE WHEN l.l_returnflag = 'N' THEN NULL ELSE {_day_first('l.l_shipdate')} END
                     AS FECHAFIN,
-               {LINE_ORDER} || lpad(CAST(l.l_orderkey AS STRING), 14, '0') AS _row_order
+               {LINE_ORDER} AS _row_order
         FROM {{lineitem}} l JOIN {{orders}} o ON o.o_orderkey = l.l_orderkey"""),
     "vacantes": (("lineitem", "orders", "part", "supplier", "nation", "region"), f"""
         SELECT CAST(l.l_orderkey AS STRING) AS AVISOID,
@@ -135,7 +134,9 @@ def cleaned(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def stored(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
     """Cleaned datasets, each written once and read by several builders."""
-    return {n: materialize(cleaned(spark, folder, n), f"cleaned-{n}") for n in names}
+    return build_together(spark, {
+        n: lambda n=n: materialize(cleaned(spark, folder, n), f"cleaned-{n}") for n in names
+    })
 
 
 def raw_sql(name: str) -> str:

@@ -95,7 +95,7 @@ DIMS_SQL = {
                coalesce(DISTRITO, 'SIN_ESPECIFICAR') AS distrito, UBIGEO AS ubigeo, fuente
         FROM (SELECT *, row_number() OVER (PARTITION BY UBIGEO ORDER BY src, ord NULLS FIRST) AS rn
               FROM (SELECT DEPARTAMENTO, PROVINCIA, DISTRITO, UBIGEO, 'postulante' AS fuente,
-                           0 AS src, lpad(CAST(_row_order AS VARCHAR), 20, '0') AS ord FROM postulante
+                           0 AS src, _row_order AS ord FROM postulante
                     UNION ALL SELECT DEPARTAMENTO, PROVINCIA, DISTRITO, UBIGEO, 'vacante', 1,
                            _row_order FROM vac)) WHERE rn = 1)""",
     "dim_postulante": """dim_postulante AS (

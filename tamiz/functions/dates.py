@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -35,11 +36,73 @@ MONTH_NAMES = (
 DAY_NAMES = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo")
 
 
+# Pattern letters: how many digits they stand for, and their ISO place.
+_FIELDS = {"yyyy": (4, "y"), "MM": (2, "M"), "dd": (2, "d"), "HH": (2, "H"), "mm": (2, "m"), "ss": (2, "s")}
+
+
+def _numeric_shape(pattern: str) -> tuple[str, str] | None:
+    """Regex of an all-digits pattern and the replacement that makes it ISO.
+
+    None for patterns with names, zones or optional parts other than a fraction.
+    """
+    fraction = pattern.endswith("[.SSSSSS]")
+    body = pattern.removesuffix("[.SSSSSS]").replace("'T'", "T")
+    regex, groups = "", {}
+    for piece in re.findall(r"y+|M+|d+|H+|m+|s+|.", body):
+        if piece in _FIELDS:
+            digits, place = _FIELDS[piece]
+            if place in groups:
+                return None
+            groups[place] = f"${len(groups) + 1}"
+            regex += rf"(\d{{{digits}}})"
+        elif piece.isalpha() and piece != "T" or piece in "[]'":
+            return None
+        else:
+            regex += re.escape(piece)
+    if not {"y", "M", "d"} <= groups.keys():
+        return None
+    iso = f"{groups['y']}-{groups['M']}-{groups['d']}"
+    if {"H", "m", "s"} <= groups.keys():
+        iso += f" {groups['H']}:{groups['m']}:{groups['s']}"
+        if fraction:
+            iso += f"${len(groups) + 1}"
+            regex += r"(\.\d{1,6})?"
+    elif fraction or len(groups) > 3:
+        return None
+    return f"^{regex}$", iso
+
+
 def parse_dates(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Timestamp without zone from the first format that fits, else null."""
+    """Timestamp without zone from the first format that fits, else null.
+
+    A text is compared with the shapes of the all-digits formats, turned into
+    ISO and cast once: no parser exception is raised and caught for every other
+    spelling. Formats with names or zones go through Spark's own parser.
+    """
     text = strip_spaces(col)
-    parsed = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*parsed)
+    tries: list[Column] = []
+    shapes: dict[str, str] = {}
+
+    def close() -> None:
+        if shapes:
+            iso_text = F.lit(None).cast("string")
+            for regex, iso in reversed(list(shapes.items())):
+                rewritten = F.regexp_replace(text, regex, iso) if iso else text
+                iso_text = F.when(text.rlike(regex), rewritten).otherwise(iso_text)
+            tries.append(iso_text.try_cast("timestamp_ntz"))
+            shapes.clear()
+
+    for pattern in formats:
+        shape = _numeric_shape(pattern)
+        if shape is None or shape[0] in shapes:
+            close()
+        if shape is None:
+            tries.append(F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"))
+        else:
+            # Year first and dashes: the text is ISO as it stands.
+            shapes[shape[0]] = "" if pattern.startswith("yyyy-MM-dd") else shape[1]
+    close()
+    return F.coalesce(*tries)
 
 
 def truncate_day(col: Column) -> Column:

@@ -17,6 +17,7 @@ from tamiz.operators.quality import (
 from tamiz.plans import dimensions as d
 from tamiz.plans import facts as f
 from tamiz.schemas import WAREHOUSE, references
+from tamiz.session import build_together
 
 
 @dataclass(frozen=True)
@@ -75,16 +76,17 @@ def reconciled_datasets(datasets: d.Datasets, run_date: datetime.date) -> dict[s
 
 
 def build_dimensions(datasets: d.Datasets, keep_null_member: bool = True) -> dict[str, DataFrame]:
-    return {
-        "dim_tiempo": d.build_dim_date(datasets),
-        "dim_ubicacion": d.build_dim_location(datasets, keep_null_member),
-        "dim_postulante": d.build_dim_applicant(datasets),
-        "dim_carrera": d.build_dim_career(datasets),
-        "dim_institucion": d.build_dim_institution(datasets),
-        "dim_vacante": d.build_dim_vacancy(datasets),
-        "dim_empresa": d.build_dim_company(datasets, keep_null_member),
-        "dim_competencia": d.build_dim_skill(datasets, keep_null_member),
-    }
+    keep = keep_null_member
+    return build_together(datasets["vacantes"].sparkSession, {
+        "dim_tiempo": lambda: d.build_dim_date(datasets),
+        "dim_ubicacion": lambda: d.build_dim_location(datasets, keep),
+        "dim_postulante": lambda: d.build_dim_applicant(datasets),
+        "dim_carrera": lambda: d.build_dim_career(datasets),
+        "dim_institucion": lambda: d.build_dim_institution(datasets),
+        "dim_vacante": lambda: d.build_dim_vacancy(datasets),
+        "dim_empresa": lambda: d.build_dim_company(datasets, keep),
+        "dim_competencia": lambda: d.build_dim_skill(datasets, keep),
+    })
 
 
 def build_facts(

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -62,3 +65,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def build_together(
+    spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], at_once: int = 8
+) -> dict[str, DataFrame]:
+    """Run independent builders side by side, so that small jobs share the cluster."""
+    with ThreadPoolExecutor(min(at_once, len(builders))) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(spark)(build))
+            for name, build in builders.items()
+        }
+        return {name: job.result() for name, job in running.items()}

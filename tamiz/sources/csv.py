@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions import NA_TOKENS, null_if_token
 from tamiz.operators.columns import normalize_headers
 
-_OVERFLOW = "__overflow"
-# Tells an empty cell, which is present, from a cell that a short line lacks.
-_ABSENT = "\u0001"
+_RECORD = "__record"
+_END = "\u0001end\u0001"
 
 
 def inspect_text(spark: SparkSession, path: str) -> tuple[bool, bool]:
@@ -43,7 +42,7 @@ def read_raw_csv(
     UTF-8. ``bad_lines``: lines with too many cells raise an ``error`` or are
     left out with ``skip``; short lines are padded with nulls. ``multiline``
     None looks whether quoted cells span lines: only then are files read whole.
-    ``row_order`` names a column that orders rows as in the source.
+    ``row_order`` names a column that ascends with the lines of each file.
     """
     if bad_lines not in ("error", "skip"):
         raise ValueError(f"bad_lines must be error or skip, not {bad_lines!r}")
@@ -56,19 +55,15 @@ def read_raw_csv(
 
     reader = spark.read.options(
         header=True, quote='"', escape='"', encoding=encoding, multiLine=multiline,
-        mode="PERMISSIVE", nullValue=_ABSENT, emptyValue="",
+        mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, columnPruning=False,
     )
     header = list(columns) if columns else reader.csv(path).columns
-    fields = [T.StructField(c, T.StringType()) for c in [*header, _OVERFLOW]]
+    fields = [T.StructField(c, T.StringType()) for c in [*header, _RECORD]]
     df = reader.schema(T.StructType(fields)).csv(path)
     if row_order:
-        # Within one block of one file a single task numbers the lines in order.
-        df = df.withColumn(row_order, F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ))
-    fits = F.col(_OVERFLOW).isNull()
+        # Ascends along each file; a retried task gives its rows the same numbers.
+        df = df.withColumn(row_order, F.monotonically_increasing_id())
+    fits = _has_no_extra_cell(header)
     if bad_lines == "skip":
         df = df.filter(fits)
     else:
@@ -82,6 +77,22 @@ def read_raw_csv(
     return df.toDF(*ordered, *([row_order] if row_order else []))
 
 
+def _has_no_extra_cell(header: Sequence[str]) -> Column:
+    """Whether a line has no more cells than the header.
+
+    Spark keeps the text of each line whose number of cells is not the
+    header's. One more cell is appended to that text: if it then comes up
+    within the header's columns, the line was too short, not too long.
+    """
+    cells = [f"c{i}" for i in range(len(header))]
+    schema = ", ".join(f"{c} string" for c in cells)
+    longer = F.concat(F.col(_RECORD), F.lit("," + _END))
+    parsed = F.from_csv(longer, schema, {"quote": '"', "escape": '"', "multiLine": "true"})
+    short = F.coalesce(F.array_contains(F.array(*[parsed[c] for c in cells]), _END), F.lit(False))
+    # The last test never holds; it makes every query name a column of the file.
+    return F.col(_RECORD).isNull() | short | F.col(f"`{header[0]}`").eqNullSafe(_END)
+
+
 def normalize_null_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Missing-value texts in any text column become null."""
     return df.select(*[
