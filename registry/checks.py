@@ -132,7 +132,7 @@ def _references_sql() -> str:
 
 @query("constellation_references", _references_sql())
 def _(spark, sf):
-    w = full(spark, sf)
+    w = full(spark, sf).stored()
     return quality.check_referential_integrity(w.facts, w.dimensions, references())
 
 
@@ -148,4 +148,4 @@ def _not_null_sql() -> str:
 
 @query("constellation_not_null", _not_null_sql())
 def _(spark, sf):
-    return constraint_reports(full(spark, sf).tables)["not_null"]
+    return constraint_reports(full(spark, sf).stored().tables)["not_null"]

@@ -89,27 +89,39 @@ def clean_category(
     return out
 
 
+def _unaccented(char: str) -> str:
+    """The character under its marks, found by undoing one composition at a time."""
+    while True:
+        parts = unicodedata.decomposition(char).split()
+        if not parts or parts[0].startswith("<"):
+            return char
+        base, *marks = (chr(int(code, 16)) for code in parts)
+        if any(unicodedata.category(mark) != "Mn" for mark in marks):
+            return char
+        char = base
+
+
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
-    """Characters to replace, then combining marks to delete, for ``translate``."""
-    source, target, marks = [], [], []
-    for char in map(chr, range(0x80, 0x10000)):
-        if unicodedata.category(char) == "Mn":
-            marks.append(char)
-            continue
-        base = "".join(
-            c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn"
-        )
-        if base != char and len(base) == 1:
-            source.append(char)
-            target.append(base)
-    return "".join(source + marks), "".join(target)
+    """Accented characters followed by lone marks, and what replaces the former.
+
+    ``translate`` deletes the characters that have no counterpart: the marks.
+    """
+    beyond_ascii = [chr(i) for i in range(0x80, 0x10000)]
+    marks = [c for c in beyond_ascii if unicodedata.category(c) == "Mn"]
+    accented = {c: _unaccented(c) for c in beyond_ascii if unicodedata.category(c) != "Mn"}
+    changed = {c: base for c, base in accented.items() if base != c}
+    return "".join([*changed, *marks]), "".join(changed.values())
 
 
 def strip_accents(col: Column) -> Column:
-    """Replace accented characters by their base and delete combining marks."""
+    """Replace accented characters by their base and delete combining marks.
+
+    Characters that come apart into several letters (Hangul, some Indic vowel
+    signs) stay whole; name normalisation deletes them in either form.
+    """
     source, target = _accent_table()
-    return F.translate(col, source, target)
+    return F.when(col.rlike(r"[^\x00-\x7F]"), F.translate(col, source, target)).otherwise(col)
 
 
 def remove_stopwords(col: Column, words: Sequence[str] = STOP_WORDS) -> Column:
@@ -126,7 +138,7 @@ def collapse_spaces(col: Column) -> Column:
 
 def keep_alphanumeric(col: Column) -> Column:
     """Delete all but A-Z, 0-9 and white space."""
-    return F.regexp_replace(col, f"(?U)[^A-Z0-9{_SPACE_CLASS}]", "")
+    return F.regexp_replace(col, f"(?U)[^A-Z0-9{_SPACE_CLASS}]+", "")
 
 
 def normalize_name(col: Column, stopwords: Sequence[str] = ()) -> Column:

@@ -37,7 +37,7 @@ def assign_surrogate_key(
         offsets.append(str(before))
         before += sizes.get(i, 0)
     # One constant array; a long chain of literals would bloat the plan.
-    first_keys = F.split(F.lit(",".join(offsets)), ",").cast("array<bigint>")
+    first_keys = F.split(F.lit(",".join(offsets or [str(start)])), ",").cast("array<bigint>")
     row_in_block = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return placed.select(
         (F.get(first_keys, block) + row_in_block).alias(sk_name), *df.columns

@@ -43,16 +43,22 @@ def vacancy_placeholder(run_date: datetime.date) -> dict[str, object]:
     }
 
 
-def reconcile_orphans(
+def orphan_placeholders(
     child: DataFrame, parent: DataFrame, key: str, defaults: Mapping[str, object]
 ) -> DataFrame:
-    """The parent with one labelled row for each orphan key of the child.
+    """One labelled parent row for each orphan key of the child.
 
     Defaults take the parent's column types; columns the parent lacks are left out.
     """
     types = dict(parent.dtypes)
-    orphans = orphan_keys(child, parent, key).select(
+    return orphan_keys(child, parent, key).select(
         F.col(key).cast(types[key]).alias(key),
         *[F.lit(v).cast(types[c]).alias(c) for c, v in defaults.items() if c in types],
     )
-    return append_placeholders(parent, orphans)
+
+
+def reconcile_orphans(
+    child: DataFrame, parent: DataFrame, key: str, defaults: Mapping[str, object]
+) -> DataFrame:
+    """The parent together with the placeholders of the child's orphan keys."""
+    return append_placeholders(parent, orphan_placeholders(child, parent, key, defaults))

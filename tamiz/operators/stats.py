@@ -197,14 +197,18 @@ def box_stats(df: DataFrame, column: str, by: str | None = None, reach: float =
     values = df.select(group, _number(column).alias("x")).filter(
         F.col("group").isNotNull() & F.col("x").isNotNull()
     )
-    quartiles = exact_quantiles(values, "x", (0.25, 0.5, 0.75), ["group"], names=("q1", "median", "q3"))
-    fence = (F.col("q3") - F.col("q1")) * reach
-    # Equal values share their fate: count them before the join with the fences.
+    # Equal values share their fate: count them before they meet the fences.
     counted = values.groupBy("group", "x").agg(F.count(F.lit(1)).alias("n"))
+    names, points = ("q1", "median", "q3"), (0.25, 0.5, 0.75)
+    if by is None:
+        row = exact_quantiles(values, "x", points, names=names).select(F.struct(*names).alias("q"))
+        fenced = counted.withColumn("q", row.scalar()).select("*", "q.*")
+    else:
+        fenced = counted.join(exact_quantiles(values, "x", points, ["group"], names=names), "group")
+    fence = (F.col("q3") - F.col("q1")) * reach
     inside = F.col("x").between(F.col("q1") - fence, F.col("q3") + fence)
     return (
-        counted.join(quartiles, "group")
-        .groupBy("group", "q1", "median", "q3")
+        fenced.groupBy("group", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("x"))).alias("whisker_high"),

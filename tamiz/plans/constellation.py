@@ -8,16 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.operators.orphans import orphan_stats, reconcile_orphans, vacancy_placeholder
+from tamiz.operators.orphans import orphan_placeholders, orphan_stats, vacancy_placeholder
 from tamiz.operators.profile import warehouse_summary
 from tamiz.operators.quality import (
     check_foreign_key_nulls, check_max_length, check_not_null, check_referential_integrity,
     check_surrogate_keys, check_unique,
 )
+from tamiz.operators.sets import append_placeholders
 from tamiz.plans import dimensions as d
 from tamiz.plans import facts as f
 from tamiz.schemas import WAREHOUSE, references
-from tamiz.session import build_together
+from tamiz.session import build_together, materialize
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,14 @@ class Constellation:
     def tables(self) -> dict[str, DataFrame]:
         return {**self.dimensions, **self.facts}
 
+    def stored(self) -> Constellation:
+        """The same with the facts written once, for the checks that read them often."""
+        spark = self.orphans.sparkSession
+        facts = build_together(spark, {
+            name: lambda name=name, df=df: materialize(df, name) for name, df in self.facts.items()
+        })
+        return Constellation(self.dimensions, facts, self.orphans)
+
     def summary(self) -> DataFrame:
         return warehouse_summary(self.dimensions, self.facts)
 
@@ -68,11 +77,18 @@ def constraint_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def reconciled_datasets(datasets: d.Datasets, run_date: datetime.date) -> dict[str, DataFrame]:
-    """The datasets, with a placeholder vacancy for each unknown one that skills name."""
-    vacancies = reconcile_orphans(
-        datasets["competencias"], datasets["vacantes"], "AVISOID", vacancy_placeholder(run_date)
+    """The datasets, with a placeholder vacancy for each unknown one that skills name.
+
+    Only the placeholders are stored: several builders read them.
+    """
+    vacancies = datasets["vacantes"]
+    placeholders = materialize(
+        orphan_placeholders(
+            datasets["competencias"], vacancies, "AVISOID", vacancy_placeholder(run_date)
+        ),
+        "placeholders",
     )
-    return {**datasets, "vacantes": vacancies}
+    return {**datasets, "vacantes": append_placeholders(vacancies, placeholders)}
 
 
 def build_dimensions(datasets: d.Datasets, keep_null_member: bool = True) -> dict[str, DataFrame]:
