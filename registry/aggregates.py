@@ -122,11 +122,9 @@ def _(spark, sf):
 
 
 @query("count_distinct", """
-    SELECT count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers FROM lineitem""")
+    SELECT count(DISTINCT l_partkey) AS l_partkey, count(DISTINCT l_suppkey) AS l_suppkey FROM lineitem""")
 def _(spark, sf):
-    return table(spark, sf, "lineitem").agg(
-        F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers")
-    )
+    return profile.count_distinct(table(spark, sf, "lineitem"), "l_partkey", "l_suppkey")
 
 
 # ---- statistics -----------------------------------------------------------

@@ -290,7 +290,7 @@ def _(spark, sf):
     )
 
 
-@query("parse_mixed_dates", f"""
+@query("parse_dates_report", f"""
     SELECT count(*) AS rows, count(FECHACREACION) AS non_null,
            count(try_strptime(FECHACREACION, '%Y-%m-%d')) AS parsed,
            round(count(try_strptime(FECHACREACION, '%Y-%m-%d')) * 100.0 / count(*), 6) AS pct_parsed
@@ -302,6 +302,31 @@ def _(spark, sf):
     return out.withColumn("pct_parsed", F.round("pct_parsed", 6))
 
 
+_SPELLED = """CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y.%m.%d 10:30')
+    WHEN '2-HIGH' THEN strftime(o_orderdate, '%d/%m/%Y') WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%m-%d-%Y')
+    WHEN '4-NOT SPECIFIED' THEN 'sin fecha' ELSE strftime(o_orderdate, '%Y%m%d') END"""
+
+
+@query("parse_mixed_dates", f"""
+    SELECT o_orderkey, CAST(coalesce(
+             try_strptime(d, '%Y.%m.%d %H:%M'), try_strptime(d, '%m/%d/%Y'), try_strptime(d, '%m-%d-%Y'),
+             try_strptime(d, '%d/%m/%Y'), try_strptime(d, '%Y%m%d')) AS VARCHAR) AS parsed
+    FROM (SELECT o_orderkey, {_SPELLED} AS d FROM orders)""")
+def _(spark, sf):
+    """Five spellings in one column, two of them ambiguous, read month first."""
+    priority = F.col("o_orderpriority")
+    spelled = (
+        F.when(priority == "1-URGENT", F.date_format("o_orderdate", "yyyy.MM.dd' 10:30'"))
+        .when(priority == "2-HIGH", F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .when(priority == "3-MEDIUM", F.date_format("o_orderdate", "MM-dd-yyyy"))
+        .when(priority == "4-NOT SPECIFIED", "sin fecha")
+        .otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    )
+    return table(spark, sf, "orders").select(
+        "o_orderkey", fn.parse_mixed_dates(spelled).cast("string").alias("parsed")
+    )
+
+
 @query("truncate_day", """
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n FROM events GROUP BY 1""")
 def _(spark, sf):

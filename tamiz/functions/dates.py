@@ -14,7 +14,7 @@ from tamiz.functions.text import strip_spaces
 __all__ = [
     "DATE_FORMATS", "DAY_NAMES", "MONTH_NAMES", "calendar_attributes", "duration_days",
     "duration_months", "duration_years", "is_weekend", "localized_day", "localized_month",
-    "parse_dates", "truncate_day",
+    "mixed_formats", "parse_dates", "parse_mixed_dates", "truncate_day",
 ]
 
 # Accepted spellings, tried in this order. Day-first is a choice: pass another
@@ -36,8 +36,12 @@ MONTH_NAMES = (
 DAY_NAMES = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo")
 
 
-# Pattern letters: how many digits they stand for, and their ISO place.
-_FIELDS = {"yyyy": (4, "y"), "MM": (2, "M"), "dd": (2, "d"), "HH": (2, "H"), "mm": (2, "m"), "ss": (2, "s")}
+# Pattern letters: the digits they stand for, and their place in an ISO date.
+_FIELDS = {
+    "yyyy": (r"\d{4}", "y"), "MM": (r"\d{2}", "M"), "M": (r"\d{1,2}", "M"),
+    "dd": (r"\d{2}", "d"), "d": (r"\d{1,2}", "d"), "HH": (r"\d{2}", "H"),
+    "mm": (r"\d{2}", "m"), "ss": (r"\d{2}", "s"),
+}
 
 
 def _numeric_shape(pattern: str) -> tuple[str, str] | None:
@@ -54,7 +58,7 @@ def _numeric_shape(pattern: str) -> tuple[str, str] | None:
             if place in groups:
                 return None
             groups[place] = f"${len(groups) + 1}"
-            regex += rf"(\d{{{digits}}})"
+            regex += f"({digits})"
         elif piece.isalpha() and piece != "T" or piece in "[]'":
             return None
         else:
@@ -67,6 +71,8 @@ def _numeric_shape(pattern: str) -> tuple[str, str] | None:
         if fraction:
             iso += f"${len(groups) + 1}"
             regex += r"(\.\d{1,6})?"
+    elif {"H", "m"} == groups.keys() - {"y", "M", "d"} and not fraction:
+        iso += f" {groups['H']}:{groups['m']}:00"
     elif fraction or len(groups) > 3:
         return None
     return f"^{regex}$", iso
@@ -100,11 +106,28 @@ def parse_dates(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
             tries.append(F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"))
         else:
             # Year first and dashes: the text is ISO as it stands.
-            shapes[shape[0]] = "" if pattern.startswith("yyyy-MM-dd") else shape[1]
+            is_iso = pattern.startswith("yyyy-MM-dd") and not pattern.endswith("HH:mm")
+            shapes[shape[0]] = "" if is_iso else shape[1]
     close()
     return F.coalesce(*tries)
 
 
+def mixed_formats(day_first: bool = False) -> list[str]:
+    """A longer list of spellings; day and month may swap where only one order is a date."""
+    orders = ["d{0}M{0}yyyy", "M{0}d{0}yyyy"]
+    if not day_first:
+        orders.reverse()
+    times = ["", " HH:mm:ss[.SSSSSS]", " HH:mm"]
+    year_first = [f"yyyy{sep}MM{sep}dd{time}" for sep in "-/." for time in times]
+    year_last = [order.format(sep) + time for order in orders for sep in "/-." for time in times]
+    return [*year_first, "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "yyyyMMdd", *year_last]
+
+
+def parse_mixed_dates(col: Column, day_first: bool = False) -> Column:
+    """Each value in whatever known spelling it has; month first if both orders fit."""
+    return parse_dates(col, mixed_formats(day_first))
+
+
 def truncate_day(col: Column) -> Column:
     return col.cast("date")
 

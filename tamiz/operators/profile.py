@@ -44,6 +44,12 @@ def cardinality_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     ).orderBy(F.desc("distinct"), "column")
 
 
+def count_distinct(df: DataFrame, *columns: str, approximate: bool = False) -> DataFrame:
+    """Distinct non-null values of each column, in one row."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return df.agg(*[count(F.col(c)).alias(c) for c in columns])
+
+
 def low_variability_columns(df: DataFrame, limit: float = 0.01) -> DataFrame:
     """Columns with more than one value but few values for their rows."""
     profile = cardinality_profile(df)

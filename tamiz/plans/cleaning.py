@@ -169,7 +169,7 @@ CLEANERS: dict[str, Callable[..., DataFrame]] = {
     "competencias": clean_skills,
 }
 
-UNIQUE_KEYS = {"postulante": ("ID_POSTULANTE", "DOC_ID"), "vacantes": ("AVISOID",)}
+UNIQUE_KEYS = {"postulante": ("ID_POSTULANTE", "DOC_ID")}
 
 
 def clean_dataset(name: str, raw: DataFrame, order_by: str = ROW_ORDER, **options: object) -> DataFrame:

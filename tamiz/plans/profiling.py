@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions import (
-    categorize_experience, duration_days, duration_months, duration_years, parse_dates,
+    categorize_experience, duration_days, duration_months, duration_years, parse_mixed_dates,
 )
 from tamiz.operators import frequency, profile, stats
 from tamiz.operators.columns import columns_of_type
@@ -52,11 +52,14 @@ def disability_analysis(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def with_durations(df: DataFrame, start: str = "FECHAINICIO", end: str = "FECHAFIN") -> DataFrame:
+def with_durations(
+    df: DataFrame, start: str = "FECHAINICIO", end: str = "FECHAFIN", day_first: bool = False
+) -> DataFrame:
     """Parsed dates, and the span between them in days, months and years."""
     types = dict(df.dtypes)
     dated = df.withColumns({
-        f"{c}_parsed": parse_dates(F.col(c)) if types[c] == "string" else F.col(c).cast("timestamp_ntz")
+        f"{c}_parsed": parse_mixed_dates(F.col(c), day_first) if types[c] == "string"
+        else F.col(c).cast("timestamp_ntz")
         for c in (start, end)
     })
     days = duration_days(F.col(f"{start}_parsed"), F.col(f"{end}_parsed"))
@@ -66,9 +69,9 @@ def with_durations(df: DataFrame, start: str = "FECHAINICIO", end: str = "FECHAF
     })
 
 
-def experience_analysis(df: DataFrame) -> dict[str, DataFrame]:
+def experience_analysis(df: DataFrame, day_first: bool = False) -> dict[str, DataFrame]:
     """How many dates parse, and the spans they give."""
-    spans = with_durations(df)
+    spans = with_durations(df, day_first=day_first)
     valid = filter_positive_duration(spans, "duracion_dias")
     short = filter_positive_duration(spans, "duracion_dias", "duracion_meses", 60)
     return {
