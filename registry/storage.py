@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from registry.base import query, table
-from registry.bindings import stored
+from registry.bindings import stored, with_cleaned
 from registry.warehouse import DATASETS, _summary_sql, full
 from tamiz.operators.profile import dataset_summary, warehouse_summary
 from tamiz.operators.quality import check_expected_total
@@ -202,7 +202,23 @@ def _(spark, sf):
     return check_expected_total(w.table_stats(spark, _small_warehouse(spark, sf)), 15000, 200)
 
 
-@query("cleaned_zone_summary")
+_COLUMNS = {
+    "postulante": "ID_POSTULANTE, DOC_ID, EDAD, SEXO, DEPARTAMENTO, PROVINCIA, DISTRITO, UBIGEO,"
+                  " ESTADO_CONADIS, _row_order",
+    "discapacidad": "DBIDPOSTULANTE, CAUSA, DSCORE, _row_order",
+    "educacion": "ID_POSTULANTE, CARRERA, INSTITUCION, NIVEL_EDUCATIVO, GRADO, ESTADO, FECHAINICIO,"
+                 " FECHAFIN, _row_order",
+    "experiencias": "ID_POSTULANTE, CARGO, EMPRESA, SECTOR, FECHAINICIO, FECHAFIN, _row_order",
+    "vacantes": "AVISOID, IDEMPRESA, NOMBREAVISO, SECTOR, VACANTES, POSTULANTES, SINEXPERIENCIA,"
+                " TIEMPOEXPERIENCIA, TIPOTIEMPOEXPERIENCIA, ACTIVO, DEPARTAMENTO, PROVINCIA, DISTRITO,"
+                " UBIGEO, FECHAINICIO, FECHAFIN, FECHACREACION, _row_order",
+    "competencias": "AVISOID, NOMBRECOMPETENCIA, NIVEL, _row_order",
+}
+
+
+@query("cleaned_zone_summary", with_cleaned(*DATASETS) + " UNION ALL ".join(
+    f" SELECT '{n}' AS name, count(*) AS rows, {len(c.split(', '))} AS n_columns, '{c}' AS columns FROM {n}"
+    for n, c in _COLUMNS.items()))
 def _(spark, sf):
     """All six cleaned datasets: names, rows and columns."""
     return dataset_summary(stored(spark, sf, *DATASETS))
