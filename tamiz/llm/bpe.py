@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.llm.base import map_batches, own_columns, texts
 
@@ -249,7 +250,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
         return out
 
     docs = docs.select(*(F.col(f"`{c}`") for c in kept))
-    schema = docs.schema.add(ids, "array<int>")
+    schema = T.StructType(docs.schema.fields + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return map_batches(docs, text, run, schema, most=16 << 20)
 
 
@@ -276,5 +277,5 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", data: s
         return out
 
     encoded = encoded.select(*(F.col(f"`{c}`") for c in kept))
-    schema = encoded.schema.add(data, "binary")
+    schema = T.StructType(encoded.schema.fields + [T.StructField(data, T.BinaryType())])
     return map_batches(encoded, ids, run, schema)

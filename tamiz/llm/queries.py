@@ -25,6 +25,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op2_pivotal_mix")
+def op2_pivotal_mix(spark, folder):
+    from tamiz.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents"))
+
+
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark, folder):
     import public_tokenizers
