@@ -47,3 +47,10 @@ def op9_byte_bpe(spark, folder):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_chosen_path")
+def op3_chosen_path(spark, folder):
+    from tamiz.llm.chosen_path import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"), width=2, similarity=0.8)
