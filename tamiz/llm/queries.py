@@ -54,3 +54,30 @@ def op3_chosen_path(spark, folder):
     from tamiz.llm.chosen_path import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"), width=2, similarity=0.8)
+
+
+@query("op10_warc_archive", r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+""")
+def op10_warc_archive(spark, folder):
+    from tamiz.llm import warc
+    from tamiz.session import fresh_path
+
+    path = fresh_path(spark, "archive")
+    warc.write_archive(table(spark, folder, "pages"), path)
+    back = warc.read_archive(spark, path)
+    field = lambda name: warc.header_field(F.col("warc_header"), name)
+    return back.select(
+        field("X-Page-ID").cast("long").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2(F.col("payload"), 256).alias("payload_digest"),
+        field("WARC-Type").alias("record_type"),
+        field("X-Refers-To-Page").cast("long").alias("refers_to"),
+    )
