@@ -81,3 +81,43 @@ def op10_warc_archive(spark, folder):
         field("WARC-Type").alias("record_type"),
         field("X-Refers-To-Page").cast("long").alias("refers_to"),
     )
+
+
+@query("op4_token_rollup", r"""
+WITH d AS (
+  SELECT source, lang, doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id, text,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS words,
+         coalesce(octet_length(encode(text)), 0)::BIGINT AS bytes
+  FROM documents
+), kept AS (SELECT * FROM d WHERE text IS NULL OR doc_id = first_id)
+SELECT source, lang, 'words-v1' AS tokenizer, count(*)::BIGINT AS docs, sum(words)::BIGINT AS tokens FROM kept GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'bytes-v2' AS tokenizer, count(*)::BIGINT AS docs, sum(bytes)::BIGINT AS tokens FROM kept GROUP BY source, lang
+""")
+def op4_token_rollup(spark, folder):
+    """Provisional counts come in, real counts revise them, exact copies go; one batch comes twice."""
+    from tamiz.llm import rollup
+    from tamiz.llm.mixing import word_count
+    from tamiz.session import fresh_path, materialize
+
+    docs = table(spark, folder, "documents")
+    counted = materialize(
+        docs.select(
+            "doc_id", "source", "lang", F.sha2("text", 256).alias("digest"), word_count("text").alias("words"),
+            F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
+            F.ceil(F.coalesce(F.length("text"), F.lit(0)) / 5).alias("guess"),
+        ),
+        "token-counts",
+    )
+    firsts = counted.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    copies = counted.join(firsts, "digest").filter("doc_id <> first_id")
+    sums = rollup.TokenRollup(spark, fresh_path(spark, "rollup"))
+    column = F.col
+    sums.commit("1-load", rollup.changes(counted, column("guess"), 1, "words-v1"),
+                rollup.changes(counted, column("bytes"), 1, "bytes-v2"))
+    recount = rollup.revisions(counted, column("guess"), column("words"), "words-v1")
+    sums.commit("2-recount", recount)
+    sums.commit("3-copies", rollup.changes(copies, column("words"), -1, "words-v1"),
+                rollup.changes(copies, column("bytes"), -1, "bytes-v2"))
+    sums.commit("2-recount", recount)
+    return sums.totals()
