@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and return.
@@ -13,6 +16,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 NARROW_ROWS, NARROW_BYTES = 8000, 8 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, unless they are told where it is."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root, name = os.path.split(package)
+    context = spark.sparkContext
+    told = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.applicationId in _SHIPPED or root in told:
+        return
+    # The driver serves the archive to all executors; the folder is the driver's own.
+    archive = shutil.make_archive(
+        os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="ship-")), name), "zip", root, name
+    )
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a row without id belongs to fold 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")), F.lit(0)) % parts

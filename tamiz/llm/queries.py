@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamiz.llm.base import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -14,7 +16,11 @@ ORACLES: dict[str, str] = {}
 def query(name: str, oracle: str | None = None):
     """Register a query, with the SQL that gives the same rows where SQL can."""
     def register(function):
-        QUERIES[name] = function
+        def run(spark, folder):
+            ship_package(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return function
@@ -121,3 +127,11 @@ def op4_token_rollup(spark, folder):
                 rollup.changes(copies, column("bytes"), -1, "bytes-v2"))
     sums.commit("2-recount", recount)
     return sums.totals()
+
+
+@query("op8_multi_index_hashing")
+def op8_multi_index_hashing(spark, folder):
+    from tamiz.llm.hamming_index import nearest
+
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors.filter(F.col("vec_id") % 100 == 0), vectors, k=10)
