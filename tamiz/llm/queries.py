@@ -135,3 +135,11 @@ def op8_multi_index_hashing(spark, folder):
 
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return nearest(vectors.filter(F.col("vec_id") % 100 == 0), vectors, k=10)
+
+
+@query("op1_imatch")
+def op1_imatch(spark, folder):
+    from tamiz.llm import imatch
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return imatch.edited_fingerprints(docs, imatch.lexicon(docs))
