@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm.base import ship_package
+from tamiz.llm.base import held_out, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +143,16 @@ def op1_imatch(spark, folder):
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return imatch.edited_fingerprints(docs, imatch.lexicon(docs))
+
+
+@query("op5_segmentation_unigrams")
+def op5_segmentation_unigrams(spark, folder):
+    import public_tokenizers
+
+    from tamiz.llm import unigram_language as language
+
+    docs = table(spark, folder, "documents")
+    pieces = language.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    model = language.fit(docs, pieces, ~held_out("doc_id", 5, 0))
+    named = docs.select("doc_id", "text", held_out("doc_id", 5, 0).alias("held_out"))
+    return language.identify(named, model).drop("text")
