@@ -156,3 +156,14 @@ def op5_segmentation_unigrams(spark, folder):
     model = language.fit(docs, pieces, ~held_out("doc_id", 5, 0))
     named = docs.select("doc_id", "text", held_out("doc_id", 5, 0).alias("held_out"))
     return language.identify(named, model).drop("text")
+
+
+@query("op7_random_indexing")
+def op7_random_indexing(spark, folder):
+    from tamiz.llm import random_index
+
+    docs = table(spark, folder, "documents")
+    model = random_index.fit(docs, table(spark, folder, "labels"), ~held_out("doc_id", 4, 2))
+    named = docs.select("doc_id", "text", held_out("doc_id", 4, 2).alias("held_out"))
+    scored = random_index.classify(named, model).drop("text")
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
