@@ -167,3 +167,14 @@ def op7_random_indexing(spark, folder):
     named = docs.select("doc_id", "text", held_out("doc_id", 4, 2).alias("held_out"))
     scored = random_index.classify(named, model).drop("text")
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
+@query("op6_attention_lm")
+def op6_attention_lm(spark, folder):
+    import public_tokenizers
+
+    from tamiz.llm import attention_lm, bpe
+
+    vocabulary = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, folder, "documents")
+    return attention_lm.score_documents(docs, vocabulary, public_tokenizers.PATTERN, ~held_out("doc_id", 10, 0))
