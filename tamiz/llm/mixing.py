@@ -19,7 +19,8 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,23 +113,23 @@ def pivotal_round(docs: DataFrame, source: str, doc_id: str, seed: int = 0) -> D
     schema = T.StructType(open_rows.schema.fields + [T.StructField("copies", T.LongType())])
 
     def reducer(level):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        def run(rows: pa.Table) -> pa.Table:
             # Large documents meet first, so that the one left open tends to be small.
-            pdf = pdf.sort_values(["size", doc_id], ascending=[False, True], kind="stable").reset_index(drop=True)
-            key = f"{seed}|{level}|{pdf[source].iloc[0]}|{pdf['salt'].iloc[0]}"
-            copies, held, p = _reduce(
-                pdf["size"].to_numpy(), pdf["part"].to_numpy(np.float64), zlib.crc32(key.encode())
-            )
-            pdf["copies"] = pd.array(copies, "Int64")
-            pdf["salt"] = pdf["salt"] // FAN_IN
-            if held >= 0:
-                pdf.loc[held, "copies"], pdf.loc[held, "part"] = pd.NA, p
-            return pdf
+            rows = rows.sort_by([("size", "descending"), (doc_id, "ascending")])
+            salt = rows.column("salt")
+            key = f"{seed}|{level}|{rows.column(source)[0].as_py()}|{salt[0].as_py()}"
+            parts = rows.column("part").to_numpy().copy()
+            copies, held, p = _reduce(rows.column("size").to_numpy(), parts, zlib.crc32(key.encode()))
+            open_one = np.arange(len(parts)) == held
+            parts[open_one] = p
+            out = rows.set_column(rows.schema.get_field_index("part"), "part", pa.array(parts))
+            out = out.set_column(out.schema.get_field_index("salt"), "salt", pc.divide(salt, FAN_IN))
+            return out.append_column("copies", pa.array(copies, pa.int64(), mask=open_one))
         return run
 
     parts, level, more = [], 0, True
     while more:
-        rounded = open_rows.groupBy(source, "salt").applyInPandas(reducer(level), schema)
+        rounded = open_rows.groupBy(source, "salt").applyInArrow(reducer(level), schema)
         rounded = materialize(rounded, f"mix-level-{level}")
         parts.append(rounded.filter(F.col("copies").isNotNull()))
         left = rounded.filter(F.col("copies").isNull())
