@@ -17,8 +17,8 @@ block in a shard, and the best of all shards are merged. Of equal vectors only t
 can be among the neighbours are indexed.
 
 Vectors that are null, zero, hold null or non-finite components or have another length than most of
-the fitting sample take no part. Repeated rows are candidates of their own, except those with the
-query's own id. With fewer candidates than asked for, all are returned; an empty table gives none.
+the fitting sample take no part. Rows that repeat an id and vector count once; no row is a candidate of a
+query with its own id. With fewer candidates than asked for, all are returned; an empty table gives none.
 """
 
 from __future__ import annotations

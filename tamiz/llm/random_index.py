@@ -173,7 +173,8 @@ class Classifier:
     def score(self, items: list[str]) -> np.ndarray:
         if self.network is None:
             return np.full(len(items), self.constant)
-        return self.network.probabilities(self.vectors.pool(items).astype(np.float64))
+        # Rounded, so that equal texts score equally whatever stands beside them in a batch.
+        return np.round(self.network.probabilities(self.vectors.pool(items).astype(np.float64)), 9)
 
 
 def fit(

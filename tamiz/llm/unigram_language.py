@@ -201,7 +201,7 @@ class LanguageModel:
         best = total.argmax(axis=1)
         letters = [any(map(str.isalpha, t)) for t in items]
         names = [self.languages[b] if has else "und" for b, has in zip(best, letters)]
-        return names, np.where(letters, share[np.arange(len(items)), best], 0.0)
+        return names, np.round(np.where(letters, share[np.arange(len(items)), best], 0.0), 9)
 
 
 def fit(
