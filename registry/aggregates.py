@@ -98,6 +98,15 @@ def _(spark, sf):
 
 
 @query("crosstab", """
+    SELECT CASE WHEN grouping(p_type) = 1 THEN 'All' ELSE p_type END AS p_type,
+           CASE WHEN grouping(p_name) = 1 THEN 'All' ELSE p_name END AS p_name, count(*) AS n
+    FROM part GROUP BY CUBE (p_type, p_name)""")
+def _(spark, sf):
+    """Many values on one side: every part name."""
+    return frequency.crosstab(table(spark, sf, "part"), "p_type", "p_name")
+
+
+@query("crosstab_wide", """
     SELECT * FROM (
       SELECT coalesce(p_type, 'All') AS p_type,
              count(*) FILTER (WHERE half = 'large') AS large, count(*) FILTER (WHERE half = 'small') AS small,
@@ -108,7 +117,7 @@ def _(spark, sf):
     parts = table(spark, sf, "part").withColumn(
         "half", F.when(F.col("p_size") > 25, "large").otherwise("small")
     )
-    return frequency.crosstab(parts, "p_type", "half")
+    return frequency.crosstab_wide(parts, "p_type", "half", ["large", "small"])
 
 
 @query("crosstab_disability", f"""{with_cleaned('discapacidad')}
@@ -118,7 +127,8 @@ def _(spark, sf):
           WHERE CAUSA IS NOT NULL AND DSCORE IS NOT NULL) GROUP BY ROLLUP (CAUSA)""")
 def _(spark, sf):
     band = F.when(F.col("DSCORE") < 50, "0").when(F.col("DSCORE") >= 50, "1")
-    return frequency.crosstab(cleaned(spark, sf, "discapacidad").withColumn("band", band), "CAUSA", "band")
+    banded = cleaned(spark, sf, "discapacidad").withColumn("band", band)
+    return frequency.crosstab_wide(banded, "CAUSA", "band", ["0", "1"])
 
 
 @query("count_distinct", """

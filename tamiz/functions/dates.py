@@ -70,7 +70,7 @@ def _numeric_shape(pattern: str) -> tuple[str, str] | None:
         iso += f" {groups['H']}:{groups['m']}:{groups['s']}"
         if fraction:
             iso += f"${len(groups) + 1}"
-            regex += r"(\.\d{1,6})?"
+            regex += r"(?:(\.\d{1,6})\d{0,3})?"
     elif {"H", "m"} == groups.keys() - {"y", "M", "d"} and not fraction:
         iso += f" {groups['H']}:{groups['m']}:00"
     elif fraction or len(groups) > 3:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions import percent_of
@@ -70,27 +72,40 @@ def records_per_entity(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def crosstab(df: DataFrame, row: str, column: str, max_columns: int = 10_000) -> DataFrame:
-    """Two-way counts with totals in a last row and column, both named ``All``.
-
-    Each value of ``column`` becomes a result column, so there may be
-    ``max_columns`` of them at most.
-    """
-    pairs = (
+def _pair_counts(df: DataFrame, row: str, column: str) -> DataFrame:
+    return (
         df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
-        .groupBy(F.col(row).cast("string").alias(row), F.col(column).cast("string").alias("__c"))
+        .groupBy(F.col(row).cast("string").alias("__r"), F.col(column).cast("string").alias("__c"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    values = [r[0] for r in pairs.select("__c").distinct().orderBy("__c").limit(max_columns + 1).collect()]
-    if len(values) > max_columns:
-        raise ValueError(f"{column} has more than {max_columns} different values")
+
+
+def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Two-way counts ``row, column, n`` of the pairs that occur, with totals named ``All``.
+
+    In long form there may be any number of values on either side.
+    """
+    def label(name: str) -> Column:
+        return F.when(F.grouping(name) == 1, F.lit("All")).otherwise(F.col(name))
+
+    cells = _pair_counts(df, row, column).cube("__r", "__c").agg(
+        label("__r").alias("__row"), label("__c").alias("__column"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")
+    )
+    return cells.select(F.col("__row").alias(row), F.col("__column").alias(column), "n")
+
+
+def crosstab_wide(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
+    """Two-way counts with a column for each of the given values, and totals named ``All``.
+
+    The totals count all values, listed or not.
+    """
     cells = [
         F.coalesce(F.sum(F.when(F.col("__c") == v, F.col("n"))), F.lit(0)).alias(v) for v in values
     ]
-    label = F.when(F.grouping(row) == 1, F.lit("All")).otherwise(F.col(row)).alias(row)
+    label = F.when(F.grouping("__r") == 1, F.lit("All")).otherwise(F.col("__r"))
     return (
-        pairs.rollup(row)
-        .agg(F.grouping(row).alias("__last"), label.alias("__label"), *cells,
+        _pair_counts(df, row, column).rollup("__r")
+        .agg(F.grouping("__r").alias("__last"), label.alias("__label"), *cells,
              F.coalesce(F.sum("n"), F.lit(0)).alias("All"))
         .orderBy("__last", "__label")
         .select(F.col("__label").alias(row), *[F.col(f"`{v}`") for v in values], "All")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping
@@ -39,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):  # not local-cluster[...]
                 raise RuntimeError(
                     "set spark.checkpoint.dir to a folder shared by all executors"
                 )
@@ -49,9 +50,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_INTERMEDIATES: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _INTERMEDIATES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete what this application stored below ``fresh_path``, and say how many paths it was.
+
+    For the end of a job: DataFrames that read the stored tables cannot be used afterwards.
+    """
+    paths = _INTERMEDIATES.pop(spark.sparkContext.applicationId, [])
+    java, config = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = 0
+    for path in paths:
+        place = java.org.apache.hadoop.fs.Path(path)
+        dropped += place.getFileSystem(config).delete(place, True)
+    return dropped
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
