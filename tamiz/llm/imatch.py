@@ -38,6 +38,8 @@ LEAST_SHARE, MOST_SHARE = 0.001, 0.1  # idf between ln 10 and ln 1000
 MOST_TERMS = 5_000_000
 FAMILIES, LEVELS, DIGITS = 32, 6, 3
 GAP = "." * DIGITS
+CELLS = [f"{i:0{DIGITS}x}" for i in range(16**DIGITS)]
+BOUNDS = [np.uint64(1 << (62 - 2 * depth)) for depth in range(LEVELS + 1)]
 MULTIPLIERS = np.random.Generator(np.random.PCG64(19)).integers(1, 2**63, FAMILIES, np.uint64) | np.uint64(1)
 TERM = re.compile(r"\w+")
 FLUSH = 300_000
@@ -84,22 +86,26 @@ def fingerprint(text: str, known: frozenset[str]) -> str:
     if not kept:
         return ""
     digests = np.array([xxhash.xxh3_64_intdigest(t) for t in kept], np.uint64)
-    # A term is in the subsets down to its level; a quarter of the terms reach each next level.
-    drawn = ((digests[:, None] * MULTIPLIERS) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-    level = np.minimum(LEVELS, np.floor(-np.log2(np.maximum(drawn, 2.0**-60)) / 2))
-
-    def hashed(chosen):
-        return f"{xxhash.xxh3_64_intdigest(chosen.tobytes()) & 0xFFF:03x}"
-
-    cells = [hashed(digests)]
-    for family in range(FAMILIES):
-        for depth in range(1, LEVELS + 1):
-            chosen = digests[level[:, family] >= depth]
-            if not len(chosen):
-                cells.append(GAP * (LEVELS - depth + 1))
-                break
-            cells.append(hashed(chosen))
-    return "".join(cells)
+    cells = [[_cell(digests.tobytes())]] + [[] for _ in range(FAMILIES)]
+    # A quarter of the terms reach each next level of a family: those whose draw has two more leading zeros.
+    draws = MULTIPLIERS[:, None] * digests
+    family, term = np.nonzero(draws < BOUNDS[0])
+    draws = draws[family, term]
+    for depth in range(LEVELS):
+        # The subsets of all families stand one after the other, each in the order of terms.
+        chosen = digests[term].tobytes()
+        ends = (8 * np.cumsum(np.bincount(family, minlength=FAMILIES))).tolist()
+        begin = 0
+        for own_cells, end in zip(cells[1:], ends):
+            own_cells.append(_cell(chosen[begin:end]) if end > begin else GAP)
+            begin = end
+        deeper = draws < BOUNDS[depth + 1]
+        family, term, draws = family[deeper], term[deeper], draws[deeper]
+    return "".join(map("".join, cells))
+
+
+def _cell(chosen: bytes) -> str:
+    return CELLS[xxhash.xxh3_64_intdigest(chosen) % len(CELLS)]
 
 
 def likeness(left: str, right: str) -> float:
