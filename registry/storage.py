@@ -12,7 +12,7 @@ from registry.warehouse import DATASETS, _summary_sql, full
 from tamiz.operators.profile import dataset_summary, warehouse_summary
 from tamiz.operators.quality import check_expected_total
 from tamiz.plans.dimensions import build_dimension
-from tamiz.schemas import LOAD_ORDER, WAREHOUSE
+from tamiz.schemas import LOAD_ORDER, WAREHOUSE, conform_rejects
 from tamiz.session import fresh_path
 from tamiz.sources import warehouse as w
 from tamiz.sources.csv import normalize_null_tokens, read_raw_csv
@@ -33,13 +33,11 @@ def _(spark, sf):
 
 
 @query("read_raw_csv_multiline", """
-    SELECT CAST(doc_id AS VARCHAR) AS "DOC_ID", md5(text) AS digest FROM documents
-    WHERE text NOT LIKE '%' || chr(13) || '%'""")
+    SELECT CAST(doc_id AS VARCHAR) AS "DOC_ID", md5(text) AS digest FROM documents""")
 def _(spark, sf):
-    """Whole texts with line breaks inside quoted cells (but for carriage returns)."""
+    """Whole texts with line breaks inside quoted cells."""
     path = fresh_path(spark, "csv")
-    documents = table(spark, sf, "documents").filter(~F.col("text").contains("\r"))
-    documents.select("doc_id", "text").write.options(
+    table(spark, sf, "documents").select("doc_id", "text").write.options(
         header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path)
@@ -48,12 +46,12 @@ def _(spark, sf):
 
 @query("read_raw_csv_encoding", r"""
     SELECT CAST(conv_id AS VARCHAR) AS "CONV_ID", CAST(turn AS VARCHAR) AS "TURN",
-           md5(regexp_replace(text, '[^\x20-\x7E\xA0-\xFF]', '.', 'g')) AS digest FROM conversations""")
+           md5(regexp_replace(text, '[^\x00-\xFF]', '.', 'g')) AS digest FROM conversations""")
 def _(spark, sf):
-    """Latin-1 files, found not to be UTF-8 and read again."""
+    """Latin-1 files with line breaks in cells, found not to be UTF-8 and read again."""
     path = fresh_path(spark, "csv")
     table(spark, sf, "conversations").select(
-        "conv_id", "turn", F.regexp_replace("text", r"[^\x20-\x7E\xA0-\xFF]", ".").alias("text")
+        "conv_id", "turn", F.regexp_replace("text", r"[^\x00-\xFF]", ".").alias("text")
     ).write.options(
         header=True, escape='"', quoteAll=True, encoding="ISO-8859-1",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
@@ -164,6 +162,21 @@ def _small_warehouse(spark, sf):
     return name
 
 
+@query("conform_rejects", """
+    SELECT 'dim_vacante' AS "table", c AS "column", n AS rejects FROM (
+      SELECT 'vacante_sk' AS c, count(*) FILTER (WHERE o_orderkey % 10 = 3) AS n FROM orders UNION ALL
+      SELECT 'num_vacantes', count(*) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) FROM orders)""")
+def _(spark, sf):
+    """Keys that are no numbers; counts with a fraction or beyond the type."""
+    priority = F.col("o_orderpriority")
+    key = F.when(F.col("o_orderkey") % 10 == 3, F.concat(F.lit("x"), F.col("o_orderkey")))
+    count = F.when(priority == "1-URGENT", "3.7").when(priority == "2-HIGH", "9999999999").otherwise("12")
+    rows = table(spark, sf, "orders").select(
+        F.coalesce(key, F.col("o_orderkey").cast("string")).alias("vacante_sk"), count.alias("num_vacantes")
+    )
+    return conform_rejects(rows, WAREHOUSE["dim_vacante"])
+
+
 @query("table_stats", """
     SELECT 'dim_empresa' AS "table", 'Dimension' AS kind, count(*) AS rows FROM supplier UNION ALL
     SELECT 'dim_competencia', 'Dimension', count(DISTINCT p_name) FROM part UNION ALL

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_KEY = "__lookup_key"
+_KEY, _SALT = "__lookup_key", "__lookup_salt"
+_SALTS = 64  # parts that the rows without a key are dealt over
 
 
 def lookup_key(
@@ -28,13 +29,24 @@ def lookup_key(
     """Add the surrogate key of the dimension row with the fact's natural key.
 
     ``how="left"`` keeps unmatched rows, with ``default_sk`` if given;
-    ``how="inner"`` drops them. ``null_safe`` lets null match null.
+    ``how="inner"`` drops them. ``null_safe`` lets null match null. Rows without a
+    key carry a salt, so that a shuffle does not send all of them to one task; the
+    dimension's null member is there once per salt.
     """
     target = as_name or sk_name
+    none, zero = F.col(fact_key).isNull(), F.lit(0).cast("long")
+    hashed = [f.name for f in fact.schema.fields if not f.dataType.simpleString().count("map<")]
+    salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in hashed)), F.lit(_SALTS).cast("long"))
+    fact = fact.withColumn(_SALT, F.when(none, salt).otherwise(zero))
     side = dim.select(F.col(dim_key).alias(_KEY), F.col(sk_name).alias(target))
+    if null_safe:
+        every = F.sequence(zero, F.lit(_SALTS - 1).cast("long"))
+        side = side.withColumn(_SALT, F.explode(F.when(F.col(_KEY).isNull(), every).otherwise(F.array(zero))))
+    else:
+        side = side.withColumn(_SALT, zero)
     own, other = fact[fact_key], side[_KEY]
     condition = own.eqNullSafe(other) if null_safe else own == other
-    out = fact.join(side, condition, how).drop(_KEY)
+    out = fact.join(side, condition & (fact[_SALT] == side[_SALT]), how).drop(_KEY, _SALT)
     if default_sk is not None:
         default = default_sk if isinstance(default_sk, Column) else F.lit(default_sk)
         out = out.withColumn(target, F.coalesce(target, default))

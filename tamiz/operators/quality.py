@@ -11,6 +11,7 @@ from tamiz.functions import percent_of
 from tamiz.operators.dedupe import primary_key_report
 from tamiz.operators.orphans import orphan_stats
 from tamiz.operators.profile import table_counts
+from tamiz.session import materialize
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
@@ -21,7 +22,8 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def assert_unique_not_null(df: DataFrame, *keys: str) -> DataFrame:
-    """The frame itself; an error if one of the keys repeats or is null."""
+    """The frame, stored once; an error if one of the keys repeats or is null."""
+    df = materialize(df, "asserted")
     report = check_unique_not_null({"": df}, {"": keys})
     bad = report.filter(~F.col("ok")).collect()
     if bad:

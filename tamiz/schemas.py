@@ -152,3 +152,23 @@ def conform(df: DataFrame, table: Table, fill_defaults: bool = True) -> DataFram
             value = F.coalesce(value, F.lit(c.default).cast(c.type))
         columns.append(value.alias(c.name))
     return df.select(*columns)
+
+
+def conform_rejects(df: DataFrame, table: Table) -> DataFrame:
+    """table, column, rejects: cells that hold a value which the column's type cannot take unchanged.
+
+    Text that does not read as the type is rejected, and so is a number that the
+    type would round or cut.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    counts = []
+    for c in table.columns:
+        if c.name not in kinds:
+            continue
+        value, taken = F.col(c.name), F.col(c.name).try_cast(c.type)
+        lost = taken.isNull()
+        if isinstance(kinds[c.name], T.NumericType) and isinstance(c.type, T.NumericType):
+            lost = lost | (taken != value)
+        counts.append(F.struct(F.lit(c.name).alias("column"), F.count_if(value.isNotNull() & lost).alias("rejects")))
+    rows = df.agg(F.array(*counts).alias("cells")).select(F.inline("cells"))
+    return rows.select(F.lit(table.name).alias("table"), "column", "rejects")

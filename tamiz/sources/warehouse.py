@@ -7,7 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.schemas import LOAD_ORDER, WAREHOUSE, Table, conform
+from tamiz.operators.quality import check_max_length, check_not_null, check_unique
+from tamiz.schemas import LOAD_ORDER, WAREHOUSE, Table, conform, conform_rejects
+from tamiz.session import materialize
+
+# What a load can be held to: values fit their types, no nulls, no repeats, no over-long texts.
+RULES = ("casts", "not_null", "unique", "max_length")
 
 
 def create_tables(
@@ -28,20 +33,54 @@ def create_tables(
         spark.sql(f"CREATE TABLE {database}.{table.name} ({columns}) USING parquet")
 
 
+def load_violations(tables: Mapping[str, DataFrame], rules: Sequence[str] = RULES) -> DataFrame:
+    """table, column, rule, rows: what of the known tables breaks which rule."""
+    parts = []
+    for name, df in tables.items():
+        table = WAREHOUSE[name]
+        if "casts" in rules:
+            parts.append(conform_rejects(df, table).withColumnRenamed("rejects", "rows").withColumn("rule", F.lit("casts")))
+        data = conform(df, table)
+        not_null, unique = table.names(not_null=True), table.names(unique=True)
+        lengths = {c.name: c.max_length for c in table.columns if c.max_length is not None}
+        for rule, columns, check, count in (
+            ("not_null", not_null, check_not_null, "nulls"), ("unique", unique, check_unique, "duplicates"),
+            ("max_length", lengths, check_max_length, "too_long"),
+        ):
+            if rule in rules and columns:
+                report = check(data, name, columns).withColumnRenamed(count, "rows")
+                parts.append(report.withColumn("rule", F.lit(rule)))
+    out = None
+    for part in parts:
+        part = part.select("table", "column", "rule", F.col("rows").cast("long").alias("rows"))
+        out = part if out is None else out.unionByName(part)
+    return out.filter("rows > 0")
+
+
 def load_warehouse(
     spark: SparkSession,
     database: str,
     tables: Mapping[str, DataFrame],
     order: Sequence[str] = LOAD_ORDER,
+    rules: Sequence[str] = ("casts",),
 ) -> list[str]:
-    """Append the given tables in load order; an error if one is missing."""
+    """Append the given tables in load order; an error if one is missing or breaks a rule.
+
+    All tables are stored and checked before the first one is written, so a bad
+    value leaves the warehouse as it was. ``rules`` may name any of ``RULES``.
+    """
     missing = [name for name in order if name not in tables]
     if missing:
         raise ValueError(f"tables missing from the load: {', '.join(missing)}")
+    stored = {name: materialize(tables[name], f"load-{name}") for name in order}
+    known = {name: df for name, df in stored.items() if name in WAREHOUSE}
+    if known and rules:
+        bad = load_violations(known, rules).collect()  # a row per column and rule at most
+        if bad:
+            lines = [f"{r['table']}.{r['column']}: {r['rows']} rows break {r['rule']}" for r in bad]
+            raise ValueError("nothing was loaded; " + "; ".join(sorted(lines)))
     for name in order:
-        df = tables[name]
-        if name in WAREHOUSE:
-            df = conform(df, WAREHOUSE[name])
+        df = conform(stored[name], WAREHOUSE[name]) if name in WAREHOUSE else stored[name]
         df.write.mode("append").format("parquet").saveAsTable(f"{database}.{name}")
     return list(order)
 
