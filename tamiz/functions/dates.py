@@ -38,7 +38,7 @@ DAY_NAMES = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "D
 
 # Pattern letters: the digits they stand for, and their place in an ISO date.
 _FIELDS = {
-    "yyyy": (r"\d{4}", "y"), "MM": (r"\d{2}", "M"), "M": (r"\d{1,2}", "M"),
+    "yyyy": (r"\d{4}", "y"), "yy": (r"\d{2}", "y"), "MM": (r"\d{2}", "M"), "M": (r"\d{1,2}", "M"),
     "dd": (r"\d{2}", "d"), "d": (r"\d{1,2}", "d"), "HH": (r"\d{2}", "H"),
     "mm": (r"\d{2}", "m"), "ss": (r"\d{2}", "s"),
 }
@@ -57,7 +57,8 @@ def _numeric_shape(pattern: str) -> tuple[str, str] | None:
             digits, place = _FIELDS[piece]
             if place in groups:
                 return None
-            groups[place] = f"${len(groups) + 1}"
+            # Two digits mean a year of this century.
+            groups[place] = f"{'20' if piece == 'yy' else ''}${len(groups) + 1}"
             regex += f"({digits})"
         elif piece.isalpha() and piece != "T" or piece in "[]'":
             return None
@@ -103,7 +104,7 @@ def parse_dates(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
         if shape is None or shape[0] in shapes:
             close()
         if shape is None:
-            tries.append(F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"))
+            tries.append(_parse_named(text, pattern))
         else:
             # Year first and dashes: the text is ISO as it stands.
             is_iso = pattern.startswith("yyyy-MM-dd") and not pattern.endswith("HH:mm")
@@ -112,6 +113,17 @@ def parse_dates(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     return F.coalesce(*tries)
 
 
+def _parse_named(text: Column, pattern: str) -> Column:
+    """Spark's own parser for a pattern with names or a zone; texts without any of these do not reach it.
+
+    A time with a zone is given as the clock in UTC shows it, whatever the session's zone.
+    """
+    clock = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    if "X" in pattern:
+        clock = F.convert_timezone(F.current_timezone(), F.lit("UTC"), clock)
+    return F.when(text.rlike(r"[A-Za-z+]|:\d\d-\d\d"), clock)
+
+
 def mixed_formats(day_first: bool = False) -> list[str]:
     """A longer list of spellings; day and month may swap where only one order is a date."""
     orders = ["d{0}M{0}yyyy", "M{0}d{0}yyyy"]
@@ -119,8 +131,17 @@ def mixed_formats(day_first: bool = False) -> list[str]:
         orders.reverse()
     times = ["", " HH:mm:ss[.SSSSSS]", " HH:mm"]
     year_first = [f"yyyy{sep}MM{sep}dd{time}" for sep in "-/." for time in times]
+    single_digits = [f"yyyy{sep}M{sep}d{time}" for sep in "-/." for time in times]
     year_last = [order.format(sep) + time for order in orders for sep in "/-." for time in times]
-    return [*year_first, "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "yyyyMMdd", *year_last]
+    short_years = [order.format("/").replace("yyyy", "yy") for order in orders]
+    named = ["d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMMM yyyy", "d-MMM-yyyy HH:mm"]
+    halves = [f"{date} h:mm{seconds} a" for date in ("yyyy-MM-dd", *(o.format("/") for o in orders))
+              for seconds in ("", ":ss")]
+    zones = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS]XXX", "yyyy-MM-dd HH:mm:ssXXX"]
+    return [
+        *year_first, "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "yyyyMMdd", *year_last, *single_digits, *short_years,
+        *named, *halves, *zones,
+    ]
 
 
 def parse_mixed_dates(col: Column, day_first: bool = False) -> Column:
