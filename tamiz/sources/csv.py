@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,15 +16,40 @@ _RECORD = "__record"
 _END = "\u0001end\u0001"
 
 
-def inspect_text(spark: SparkSession, path: str) -> tuple[bool, bool]:
-    """(every line is valid UTF-8, some quoted cell runs over several lines)."""
+def inspect_files(spark: SparkSession, path: str) -> dict[str, tuple[bool, bool, bool]]:
+    """Per file: whether every line is valid UTF-8, some hold null bytes, and a quoted cell runs over lines.
+
+    A quote inside a cell that does not begin with one opens nothing. Files
+    without lines do not appear.
+    """
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    row = spark.read.text(path).agg(
-        F.coalesce(F.bool_and(F.is_valid_utf8(line)), F.lit(True)).alias("utf8"),
-        F.coalesce(F.bool_or(quotes % 2 == 1), F.lit(False)).alias("multiline"),
-    ).first()
-    return row["utf8"], row["multiline"]
+    rest = F.regexp_replace(line, r'(^|,)"(?:[^"]|"")*"(?=,|$)', "$1")
+    rows = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.bool_and(F.is_valid_utf8(line)).alias("utf8"), F.bool_or(line.contains("\0")).alias("nulls"),
+        F.bool_or(rest.rlike(r'(^|,)"')).alias("multiline"),
+    )
+    # One row per file, as in the list of files that the reader itself keeps.
+    return {unquote(r["file"]): (r["utf8"], r["nulls"], r["multiline"]) for r in rows.collect()}
+
+
+def inspect_text(spark: SparkSession, path: str) -> tuple[bool, bool]:
+    """(every line of all files is valid UTF-8, some quoted cell runs over several lines)."""
+    found = inspect_files(spark, path).values()
+    return all(utf8 for utf8, _, _ in found), any(multiline for _, _, multiline in found)
+
+
+def first_fitting(encodings: Sequence[str], utf8: bool, nulls: bool) -> str:
+    """The first encoding that the bytes can be in; the last one if none fits.
+
+    Null bytes speak for two- or four-byte encodings, valid UTF-8 without them for UTF-8;
+    one-byte encodings take all other bytes.
+    """
+    for encoding in encodings:
+        name = encoding.upper().replace("_", "-")
+        wide = name.startswith(("UTF-16", "UTF-32"))
+        if wide == nulls and (utf8 or name not in ("UTF-8", "UTF8", "ASCII", "US-ASCII")):
+            return encoding
+    return encodings[-1]
 
 
 def read_raw_csv(
@@ -38,28 +64,39 @@ def read_raw_csv(
 ) -> DataFrame:
     """Read a CSV with header into text columns; missing-value texts become null.
 
-    ``encodings``: the first one is used, or the next when a line is not valid
-    UTF-8. ``bad_lines``: lines with too many cells raise an ``error`` or are
+    ``encodings``: each file is read in the first of them that fits its bytes (see
+    ``first_fitting``). ``bad_lines``: lines with too many cells raise an ``error`` or are
     left out with ``skip``; short lines are padded with nulls. ``multiline``
-    None looks whether quoted cells span lines: only then are files read whole.
+    None looks whether quoted cells span lines: only files where they do are read whole.
     ``row_order`` names a column that ascends with the lines of each file.
     """
     if bad_lines not in ("error", "skip"):
         raise ValueError(f"bad_lines must be error or skip, not {bad_lines!r}")
-    encoding = encodings[0]
+    groups: dict[tuple[str, bool], list[str]] = {}
     if multiline is None or len(encodings) > 1:
-        utf8, spans = inspect_text(spark, path)
-        if len(encodings) > 1 and encoding.upper() == "UTF-8" and not utf8:
-            encoding = encodings[1]
-        multiline = spans if multiline is None else multiline
-
-    reader = spark.read.options(
-        header=True, quote='"', escape='"', encoding=encoding, multiLine=multiline,
-        mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, columnPruning=False,
-    )
-    header = list(columns) if columns else reader.csv(path).columns
-    fields = [T.StructField(c, T.StringType()) for c in [*header, _RECORD]]
-    df = reader.schema(T.StructType(fields)).csv(path)
+        for file, (utf8, nulls, spans) in sorted(inspect_files(spark, path).items()):
+            encoding = first_fitting(encodings, utf8, nulls)
+            # The reader finds the line ends of wide encodings only in whole files.
+            whole = nulls or (spans if multiline is None else multiline)
+            groups.setdefault((encoding, whole), []).append(file)
+    if len(groups) < 2:
+        # All files alike: the path as it was given.
+        alike = next(iter(groups), (encodings[0], bool(multiline)))
+        groups = {alike: [path]}
+
+    def reader(encoding: str, whole: bool) -> DataFrameReader:
+        return spark.read.options(
+            header=True, quote='"', escape='"', encoding=encoding, multiLine=whole,
+            mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, columnPruning=False,
+        )
+
+    first, files = next(iter(groups.items()))
+    header = list(columns) if columns else reader(*first).csv(files).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _RECORD]])
+    df = None
+    for kind, files in groups.items():
+        part = reader(*kind).schema(schema).csv(files)
+        df = part if df is None else df.unionByName(part)
     if row_order:
         # Ascends along each file; a retried task gives its rows the same numbers.
         df = df.withColumn(row_order, F.monotonically_increasing_id())
