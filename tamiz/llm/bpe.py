@@ -251,7 +251,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
 
     docs = docs.select(*(F.col(f"`{c}`") for c in kept))
     schema = T.StructType(docs.schema.fields + [T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    return map_batches(docs, text, run, schema, most=16 << 20)
+    return map_batches(docs, text, run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", data: str = "decoded") -> DataFrame:
