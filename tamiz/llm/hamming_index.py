@@ -131,6 +131,7 @@ def nearest(
     dim = max(set(lengths), key=lambda n: (lengths.count(n), n))
     codes = fit_codes(np.array([r.v for r in fitting if len(r.v) == dim]))
     asked, held = (df.filter(F.size("v") == dim) for df in plain)
+    held = held.distinct()  # else repeated rows would take the places of other ids
     # k + 1 rows of equal vectors are enough: one may be the query's own.
     equal = Window.partitionBy("v").orderBy("id")
     held = held.withColumn("place", F.row_number().over(equal)).filter(F.col("place") <= k + 1).drop("place")
