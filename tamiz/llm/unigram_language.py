@@ -32,7 +32,6 @@ from tamiz.session import materialize
 PER_LANGUAGE = 2000  # documents per language that the model is fitted on, on average at most
 ROUNDS = 3
 CHUNK = 256
-LONGEST = 12
 UNKNOWN = 1e-7
 ADDEND = 0.01
 BASE = np.uint64(0x100000001B3 * 2 + 0x9E3779B9)
@@ -44,7 +43,7 @@ class Pieces:
     """A vocabulary of text pieces, looked up by a rolling hash of their code points."""
 
     def __init__(self, pieces: list[str]):
-        chosen = sorted({p for p in pieces if 0 < len(p) <= LONGEST and p == p.lower()})
+        chosen = sorted({p for p in pieces if p and p == p.lower()})
         self.size = len(chosen)
         self.longest = max(map(len, chosen), default=1)
         hashes = np.zeros(len(chosen), np.uint64)
