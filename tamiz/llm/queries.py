@@ -178,3 +178,83 @@ def op6_attention_lm(spark, folder):
     vocabulary = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, folder, "documents")
     return attention_lm.score_documents(docs, vocabulary, public_tokenizers.PATTERN, ~held_out("doc_id", 10, 0))
+
+
+@query("op11_dialogue_repair", r"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tbl
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS key
+  FROM conversations
+), hit AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(key, lambda c: ascii(c)::BIGINT),
+         lambda a, b: xor(a >> 8, tbl[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS kind
+  FROM keyed, bits
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hit, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS copies
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged
+), judged AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, e' \t\n\x0b\f\r') AS body,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS seen,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS earlier
+  FROM placed
+), faults AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM judged
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+), dp AS (
+  SELECT conv_id, n AS pos, {'c': 0, 'a': '', 'o': []::VARCHAR[]} AS b0,
+         {'c': 4, 'a': 'II', 'o': ['user:', 'assistant:']} AS b1, {'c': 2, 'a': 'I', 'o': ['assistant:']} AS b2,
+         {'c': 0, 'a': '', 'o': []::VARCHAR[]} AS b3
+  FROM counts
+  UNION ALL
+  SELECT conv_id, pos, list_min([c0, {'c': 2 + b2.c, 'a': 'I' || b2.a, 'o': ['user:'] || b2.o}]) AS b0,
+         list_min([c1, {'c': 2 + b2.c, 'a': 'I' || b2.a, 'o': ['user:'] || b2.o}]) AS b1, b2,
+         list_min([c3, {'c': 2 + c2.c, 'a': 'I' || c2.a, 'o': ['user:'] || c2.o}]) AS b3
+  FROM (
+    SELECT *, list_min([c2, {'c': 2 + c3.c, 'a': 'I' || c3.a, 'o': ['assistant:'] || c3.o}]) AS b2
+    FROM (
+      SELECT d.conv_id, d.pos - 1 AS pos,
+             list_min([{'c': 3 + b0.c, 'a': 'D' || b0.a, 'o': b0.o},
+                       CASE WHEN stays AND initial = 's' THEN {'c': cut + b1.c, 'a': 'K' || b1.a, 'o': line || b1.o} END,
+                       CASE WHEN stays AND initial = 'u' THEN {'c': cut + b2.c, 'a': 'K' || b2.a, 'o': line || b2.o} END,
+                       CASE WHEN stays THEN {'c': 2 + cut + b2.c, 'a': 'R' || b2.a, 'o': ['user:' || text] || b2.o} END]) AS c0,
+             list_min([{'c': 3 + b1.c, 'a': 'D' || b1.a, 'o': b1.o},
+                       CASE WHEN stays AND initial = 'u' THEN {'c': cut + b2.c, 'a': 'K' || b2.a, 'o': line || b2.o} END,
+                       CASE WHEN stays THEN {'c': 2 + cut + b2.c, 'a': 'R' || b2.a, 'o': ['user:' || text] || b2.o} END]) AS c1,
+             list_min([{'c': 3 + b2.c, 'a': 'D' || b2.a, 'o': b2.o},
+                       CASE WHEN stays AND initial = 'a' THEN {'c': cut + b3.c, 'a': 'K' || b3.a, 'o': line || b3.o} END,
+                       CASE WHEN stays THEN {'c': 2 + cut + b3.c, 'a': 'R' || b3.a, 'o': ['assistant:' || text] || b3.o} END]) AS c2,
+             list_min([{'c': 3 + b3.c, 'a': 'D' || b3.a, 'o': b3.o},
+                       CASE WHEN stays AND initial = 'u' THEN {'c': cut + b2.c, 'a': 'K' || b2.a, 'o': line || b2.o} END,
+                       CASE WHEN stays THEN {'c': 2 + cut + b2.c, 'a': 'R' || b2.a, 'o': ['user:' || text] || b2.o} END]) AS c3
+      FROM dp d JOIN (
+        SELECT *, [role || ':' || text] AS line, (fault IS NOT NULL AND fault = 'truncated')::INT AS cut,
+               fault IS NULL OR fault = 'truncated' AS stays
+        FROM faults
+      ) f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.pos = d.pos
+    )
+  )
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b0.c, 0)::BIGINT AS cost,
+       coalesce(b0.a, '') AS audit, sha256(coalesce(array_to_string(b0.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN dp d ON d.conv_id IS NOT DISTINCT FROM i.conv_id AND d.pos = 0
+""")
+def op11_dialogue_repair(spark, folder):
+    from tamiz.llm import dialogue
+
+    return dialogue.repair(dialogue.damage(table(spark, folder, "conversations")))
