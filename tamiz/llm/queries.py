@@ -258,3 +258,52 @@ def op11_dialogue_repair(spark, folder):
     from tamiz.llm import dialogue
 
     return dialogue.repair(dialogue.damage(table(spark, folder, "conversations")))
+
+
+@query("op12_packed_ids")
+def op12_packed_ids(spark, folder):
+    import public_tokenizers
+
+    from tamiz.llm import packed_ids
+    from tamiz.session import fresh_path
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as lines:
+        definition = lines.read()
+    path = fresh_path(spark, "packed")
+    # This tokenizer's words never hold a blank, so long texts may be encoded in parts.
+    encoded = packed_ids.encode(table(spark, folder, "documents"), definition, end=1, cut_at=1 << 18)
+    packed_ids.write_ids(encoded, path)
+    return packed_ids.document_digests(packed_ids.read_pieces(spark, path))
+
+
+@query("op13_best_position", r"""
+WITH terms AS (
+  SELECT r, doc_id, unnest(ts) AS term, len(ts)::BIGINT AS n FROM (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents)
+), totals AS (
+  SELECT count(DISTINCT r)::BIGINT AS docs, count(*)::BIGINT AS total FROM terms
+), postings AS (
+  SELECT r, doc_id, term, n, count(*)::BIGINT AS tf FROM terms GROUP BY ALL
+), dfs AS (SELECT term, count(*)::BIGINT AS df FROM postings GROUP BY term),
+weighed AS (
+  SELECT r, doc_id, term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+         * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // total)))) AS part
+  FROM postings JOIN dfs USING (term), totals
+), asked AS (
+  SELECT i, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, * FROM benchmark)
+), scored AS (
+  SELECT i, item_id, r, doc_id, sum(part)::BIGINT AS score FROM asked JOIN weighed USING (term) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 20
+""")
+def op13_best_position(spark, folder):
+    from tamiz.llm import ranked_search
+
+    return ranked_search.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"), k=20)
