@@ -11,7 +11,7 @@ covers all of it. So a document or a range of ids is read from its blocks alone.
     block  minimum (uint32) | width (uint8) | exceptions (uint8) | packed low bits
            | exception positions (uint8) | exception high bits (uint32)
 
-Documents follow one another by ascending id, then by a digest of their ids; parts are the ranges of
+Documents follow one another by ascending id, then by a digest of their texts; parts are the ranges of
 one sort over the cluster, and chunks of a part follow one another. Spark writes and reads the
 files (its text writer puts the line feed after each chunk), so any file system of the cluster will do.
 
@@ -42,6 +42,8 @@ CHUNK = 1 << 18
 CHUNKS_PER_FILE = 16
 PERCENTILE = 0.9
 TEXT_BATCH = 2 << 20
+MEMO_CHARACTERS = 32 << 20
+BLANK = re.compile(r"[ \n]")
 # Magic, part, ids of the part before it, ids, documents that start, blocks; the document that comes in
 # from the chunk before (id, null flag, start in the part); does the last one go on; bytes left; check sum.
 HEAD = struct.Struct("<4sIQIIIqBQBII")
@@ -200,74 +202,101 @@ def chunk_pieces(content: bytes, at: int, fields: tuple, low: int = 0, high: int
 # Tables
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(definition: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Ids of texts by the tokenizers library; a word between blanks that comes again is not encoded again.
+
+    Words are looked up in a memo of bounded size. With ``by_word`` off, texts are encoded as they are.
+    """
 
-    found = Tokenizer.from_str(definition)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found
+    def __init__(self, definition: str, by_word: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.by_word = by_word
+        self.memo: dict[str, bytes] = {}
+        self.held = 0
 
-def _cut(text: str, limit: int) -> list[str]:
-    """The text in parts that begin with a blank, as short as blanks allow."""
-    out, begin = [], 0
-    while len(text) - begin > limit:
-        found = re.compile(r"[ \n]").search(text, begin + limit)
+    def _library(self, texts: list[str]) -> Iterator[bytes]:
+        # Encodings take far more memory than their ids, so few characters are under way at a time.
+        begin = 0
+        while begin < len(texts):
+            stop, size = begin, 0
+            while stop < len(texts) and (stop == begin or size + len(texts[stop]) <= TEXT_BATCH):
+                size += len(texts[stop])
+                stop += 1
+            for found in self.tokenizer.encode_batch_fast(texts[begin:stop], add_special_tokens=False):
+                yield np.array(found.ids, "<u4").tobytes()
+            begin = stop
+
+    def encode(self, items: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return list(self._library(items))
+        if self.held > MEMO_CHARACTERS:
+            self.memo, self.held = {}, 0
+        memo, out = self.memo, []
+        for item in items:
+            parts = []
+            for piece in _slices(item):
+                words = piece.replace("\n", " ").split(" ")
+                new = list({w for w in words if w not in memo})
+                for word, ids in zip(new, self._library(new)):
+                    memo[word] = ids
+                    self.held += len(word) + len(ids)
+                parts += [memo[w] for w in words]
+            out.append(b"".join(parts))
+        return out
+
+
+def _slices(text: str) -> Iterator[str]:
+    """The text in parts of bounded length, cut at blanks."""
+    begin = 0
+    while len(text) - begin > TEXT_BATCH:
+        found = BLANK.search(text, begin + TEXT_BATCH)
         if found is None:
             break
-        out.append(text[begin:found.start()])
+        yield text[begin:found.start()]
         begin = found.start()
-    return [*out, text[begin:]]
+    yield text[begin:]
+
+
+@lru_cache(maxsize=2)
+def _encoder(definition: str, by_word: bool) -> WordEncoder:
+    return WordEncoder(definition, by_word)
+
+
+def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, text`` in ranges of ascending ids over the cluster; rows of one id by a digest of their texts."""
+    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    order = ["doc_id", "digest"]
+    placed = named.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
 
-def encode(
-    docs: DataFrame, definition: str, end: int, doc_id: str = "doc_id", text: str = "text", cut_at: int | None = None
-) -> DataFrame:
-    """``doc_id, ids`` (binary, unsigned 32-bit little-endian), the end id after each document's.
+def encode(docs: DataFrame, definition: str, end: int, by_word: bool = False) -> DataFrame:
+    """``doc_id, ids`` of ``doc_id, text`` rows: unsigned 32-bit little-endian ids, the end id after each document's.
 
-    ``definition`` is the text of a tokenizer file. ``cut_at`` lets texts be encoded in parts of about so
-    many characters, cut before a blank; that is right for tokenizers whose words never reach over blanks,
-    and bounds the memory that a very long text takes.
+    ``definition`` is the text of a tokenizer file. ``by_word`` encodes what is between blanks and line feeds
+    by itself, and each such word once for many; that is right for tokenizers whose tokens never hold a blank
+    and whose normalizer does not look over one, and gives the same ids faster.
     """
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # bounded by the vocabulary
 
     def run(batch):
-        tokenizer, tail = _tokenizer(shared.value), np.array([end], "<u4").tobytes()
-        out, parts, owners = [], [], []
-        whole = texts(batch.column(1))
-        for i, item in enumerate(whole):
-            pieces = [item] if cut_at is None or len(item) <= cut_at else _cut(item, cut_at)
-            parts += pieces
-            owners += [i] * len(pieces)
-        held: list[list[bytes]] = [[] for _ in whole]
-        # Encodings take far more memory than their ids, so few characters are under way at a time.
-        begin = 0
-        while begin < len(parts):
-            stop, size = begin, 0
-            while stop < len(parts) and (stop == begin or size + len(parts[stop]) <= TEXT_BATCH):
-                size += len(parts[stop])
-                stop += 1
-            found = tokenizer.encode_batch_fast(parts[begin:stop], add_special_tokens=False)
-            for owner, e in zip(owners[begin:stop], found):
-                held[owner].append(np.array(e.ids, "<u4").tobytes())
-            begin = stop
-        out = [b"".join(pieces) + tail for pieces in held]
-        return {"doc_id": batch.column(0), "ids": pa.array(out, pa.binary())}
+        tail = np.array([end], "<u4").tobytes()
+        found = _encoder(shared.value, by_word).encode(texts(batch.column(1)))
+        return {"doc_id": batch.column(0), "ids": pa.array([ids + tail for ids in found], pa.binary())}
 
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_batches(narrow, "text", run, "doc_id long, ids binary")
+    return map_batches(docs.select("doc_id", "text"), "text", run, "doc_id long, ids binary")
 
 
 def write_ids(encoded: DataFrame, path: str, chunk: int = CHUNK) -> None:
     """Write ``doc_id, ids`` below ``path`` (which has to be new) as files of chunks and an index of them.
 
+    Rows are written in the order in which they are, partition after partition (see ``in_order``).
     ``chunk`` is the number of ids in a chunk, of which a file has up to ``CHUNKS_PER_FILE``.
     """
-    spark = encoded.sparkSession
-    stored = materialize(encoded.withColumn("digest", F.xxhash64("ids")), "packed-encoded")
-
     def run(batches):
         from pyspark import TaskContext
 
@@ -279,12 +308,11 @@ def write_ids(encoded: DataFrame, path: str, chunk: int = CHUNK) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], names=["chunk"])
         yield pa.RecordBatch.from_arrays([pa.array(list(writer.close()), pa.binary())], names=["chunk"])
 
-    order = ["doc_id", "digest"]
-    dealt = stored.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
-    chunks = dealt.mapInArrow(run, "chunk binary").select(F.col("chunk").cast("string").alias("value"))
-    writer = chunks.write.option("lineSep", "\n").option("compression", "none")
-    writer.option("maxRecordsPerFile", CHUNKS_PER_FILE).text(f"{path}/chunks")
-    _index(_files(spark, f"{path}/chunks")).write.parquet(f"{path}/index")
+    chunks = encoded.select("doc_id", "ids").mapInArrow(run, "chunk binary")
+    writer = chunks.select(F.col("chunk").cast("string").alias("value")).write
+    writer = writer.option("lineSep", "\n").option("compression", "none").option("maxRecordsPerFile", CHUNKS_PER_FILE)
+    writer.text(f"{path}/chunks")
+    _index(_files(encoded.sparkSession, f"{path}/chunks")).write.parquet(f"{path}/index")
 
 
 def _files(spark: SparkSession, *paths: str) -> DataFrame:

@@ -270,8 +270,9 @@ def op12_packed_ids(spark, folder):
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as lines:
         definition = lines.read()
     path = fresh_path(spark, "packed")
-    # This tokenizer's words never hold a blank, so long texts may be encoded in parts.
-    encoded = packed_ids.encode(table(spark, folder, "documents"), definition, end=1, cut_at=1 << 18)
+    # This tokenizer's tokens never hold a blank, so words may be encoded one by one.
+    ordered = packed_ids.in_order(table(spark, folder, "documents"))
+    encoded = packed_ids.encode(ordered, definition, end=1, by_word=True)
     packed_ids.write_ids(encoded, path)
     return packed_ids.document_digests(packed_ids.read_pieces(spark, path))
 
