@@ -26,23 +26,30 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamiz.llm.base import map_batches, texts
+from tamiz.llm.bpe import spread
 from tamiz.session import materialize
 
 BLOCK = 128
 CHUNK = 1 << 18
 CHUNKS_PER_FILE = 16
 PERCENTILE = 0.9
-TEXT_BATCH = 2 << 20
-MEMO_CHARACTERS = 32 << 20
+TEXT_BATCH = 8 << 20
+MEMO_WORDS, WORDS_AT_ONCE = 600_000, 5_000
+CLOSING = ".,;:!?"
+# Letters of Latin-1 and Latin Extended-A; the dotted capital I becomes two characters when made small.
+LETTERS = "".join(c for c in map(chr, range(0x80, 0x180)) if c.isalpha() and c != "\u0130")
+PLAIN = re.compile(f"[a-zA-Z{LETTERS}]+")
 BLANK = re.compile(r"[ \n]")
 # Magic, part, ids of the part before it, ids, documents that start, blocks; the document that comes in
 # from the chunk before (id, null flag, start in the part); does the last one go on; bytes left; check sum.
@@ -203,51 +210,101 @@ def chunk_pieces(content: bytes, at: int, fields: tuple, low: int = 0, high: int
 
 
 class WordEncoder:
-    """Ids of texts by the tokenizers library; a word between blanks that comes again is not encoded again.
+    """Ids of texts by the tokenizers library; what comes again is not encoded again.
 
-    Words are looked up in a memo of bounded size. With ``by_word`` off, texts are encoded as they are.
+    With ``by_word``, texts are cut at blanks and line feeds, and words before the closing marks ``.,;:!?``.
+    Of a batch each distinct word is looked up once, in a memo of bounded size, and encoded if it is new:
+    words of Latin letters, made small, by the tokenizer's model directly, all others by the whole tokenizer.
     """
 
     def __init__(self, definition: str, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.by_word = by_word
+        self.model, self.by_word = self.tokenizer.model, by_word
         self.memo: dict[str, bytes] = {}
-        self.held = 0
-
-    def _library(self, texts: list[str]) -> Iterator[bytes]:
-        # Encodings take far more memory than their ids, so few characters are under way at a time.
-        begin = 0
-        while begin < len(texts):
-            stop, size = begin, 0
-            while stop < len(texts) and (stop == begin or size + len(texts[stop]) <= TEXT_BATCH):
-                size += len(texts[stop])
-                stop += 1
-            for found in self.tokenizer.encode_batch_fast(texts[begin:stop], add_special_tokens=False):
-                yield np.array(found.ids, "<u4").tobytes()
-            begin = stop
-
-    def encode(self, items: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return list(self._library(items))
-        if self.held > MEMO_CHARACTERS:
-            self.memo, self.held = {}, 0
-        memo, out = self.memo, []
-        for item in items:
-            parts = []
-            for piece in _slices(item):
-                words = piece.replace("\n", " ").split(" ")
-                new = list({w for w in words if w not in memo})
-                for word, ids in zip(new, self._library(new)):
-                    memo[word] = ids
-                    self.held += len(word) + len(ids)
-                parts += [memo[w] for w in words]
-            out.append(b"".join(parts))
+        # How the model's vocabulary spells the bytes of a letter, for the letters that it is given directly.
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {ord(c): spell(c)[0][0] for c in LETTERS}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        # Encodings take far more memory than their ids, so few are under way at a time.
+        out = []
+        for begin in range(0, len(texts), WORDS_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[begin:begin + WORDS_AT_ONCE], add_special_tokens=False)
+            out += [array("I", f.ids).tobytes() for f in found]
         return out
 
+    def _units(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, from the memo where they are known."""
+        found = list(map(self.memo.get, words))
+        new = [w for w, ids in zip(words, found) if ids is None]
+        if not new:
+            return found
+        if len(self.memo) + len(new) > MEMO_WORDS:
+            self.memo = {w: ids for w, ids in zip(words, found) if ids is not None}  # these stay
+        core, tail, distinct = _cores(pa.array(new, pa.large_string()))
+        parts = dict.fromkeys(distinct)
+        for w in filter(PLAIN.fullmatch, distinct):
+            found_ids = [t.id for t in self.model.tokenize(w if w.isascii() else w.lower().translate(self.spelled))]
+            parts[w] = array("I", found_ids).tobytes()
+        other = [w for w, ids in parts.items() if ids is None]
+        parts.update(zip(other, self._library(other)))
+        ids = list(parts.values())
+        self.memo.update((w, ids[c] + ids[t]) for w, c, t in zip(new, core.tolist(), tail.tolist()))
+        return [self.memo[w] if x is None else x for w, x in zip(words, found)]
+
+    def encode(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        if not self.by_word:
+            found = [x for item in items for x in self._library([item])]
+            return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
+        slices = [list(_slices(item)) for item in items]
+        flat = pa.array([s for some in slices for s in some], pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(flat, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        units = self._units(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        word = coded.indices.to_numpy()
+        per_word = sizes[word]
+        ids = np.frombuffer(b"".join(units), "<u4")[spread((np.cumsum(sizes) - sizes)[word], per_word)]
+        ends = np.r_[0, np.cumsum(per_word)]
+        per_text = np.cumsum([0, *(sum(counts) for counts in _groups(split, slices))])
+        return ids, np.diff(ends[per_text])
+
+
+def _groups(split: pa.Array, slices: list[list[str]]) -> Iterator[list[int]]:
+    """Words of each text's slices."""
+    counts, at = split.value_lengths().to_pylist(), 0
+    for some in slices:
+        yield counts[at:at + len(some)]
+        at += len(some)
+
+
+def _cores(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Each word as its core and its closing marks: places in a list of distinct strings.
+
+    After a letter or digit a closing mark begins a token; after another mark it need not, and then stays
+    with its word. ASCII cores are in small letters.
+    """
+    core = pc.utf8_rtrim(words, characters=CLOSING)
+    apart = pc.match_substring_regex(core, r"[\p{L}0-9]$")
+    core = pc.if_else(apart, core, words)
+    cut = pc.binary_length(core).to_numpy(zero_copy_only=False)
+    whole = pc.binary_length(words).to_numpy(zero_copy_only=False)
+    core = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core).dictionary_encode()
+    distinct = core.dictionary.to_pylist()
+    places = {s: i for i, s in enumerate(distinct)}
+    tail = np.full(len(words), places.setdefault("", len(places)), np.int64)
+    ended = np.flatnonzero(whole > cut)
+    # Closing marks are one byte each.
+    for i, w, n in zip(ended.tolist(), words.take(pa.array(ended)).to_pylist(), (whole - cut)[ended].tolist()):
+        tail[i] = places.setdefault(w[-n:], len(places))
+    return core.indices.to_numpy().astype(np.int64), tail, list(places)
+
 
 def _slices(text: str) -> Iterator[str]:
     """The text in parts of bounded length, cut at blanks."""
@@ -277,18 +334,20 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def encode(docs: DataFrame, definition: str, end: int, by_word: bool = False) -> DataFrame:
     """``doc_id, ids`` of ``doc_id, text`` rows: unsigned 32-bit little-endian ids, the end id after each document's.
 
-    ``definition`` is the text of a tokenizer file. ``by_word`` encodes what is between blanks and line feeds
-    by itself, and each such word once for many; that is right for tokenizers whose tokens never hold a blank
-    and whose normalizer does not look over one, and gives the same ids faster.
+    ``definition`` is the text of a tokenizer file. ``by_word`` encodes the words of a text by themselves, and
+    each once for many (see ``WordEncoder``). That gives the same ids faster, for tokenizers that turn letters
+    small, keep each run of letters together and apart from other characters, and drop blanks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # bounded by the vocabulary
 
     def run(batch):
-        tail = np.array([end], "<u4").tobytes()
-        found = _encoder(shared.value, by_word).encode(texts(batch.column(1)))
-        return {"doc_id": batch.column(0), "ids": pa.array([ids + tail for ids in found], pa.binary())}
+        ids, counts = _encoder(shared.value, by_word).encode(texts(batch.column(1)))
+        whole = np.insert(ids, np.cumsum(counts), end).astype("<u4")
+        ends = np.r_[0, np.cumsum(counts + 1)].astype(np.int64) * 4
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(whole)]
+        return {"doc_id": batch.column(0), "ids": pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), buffers)}
 
-    return map_batches(docs.select("doc_id", "text"), "text", run, "doc_id long, ids binary")
+    return map_batches(docs.select("doc_id", "text"), "text", run, "doc_id long, ids binary", TEXT_BATCH)
 
 
 def write_ids(encoded: DataFrame, path: str, chunk: int = CHUNK) -> None:
