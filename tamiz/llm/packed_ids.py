@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tamiz.llm.base import map_batches, texts
+from tamiz.llm.base import narrow, texts
 from tamiz.llm.bpe import spread
 from tamiz.session import materialize
 
@@ -44,8 +44,8 @@ BLOCK = 128
 CHUNK = 1 << 18
 CHUNKS_PER_FILE = 16
 PERCENTILE = 0.9
-TEXT_BATCH = 8 << 20
-MEMO_WORDS, WORDS_AT_ONCE = 600_000, 5_000
+TEXT_BATCH = 4 << 20
+MEMO_WORDS, WORDS_AT_ONCE = 400_000, 5_000
 CLOSING = ".,;:!?"
 # Letters of Latin-1 and Latin Extended-A; the dotted capital I becomes two characters when made small.
 LETTERS = "".join(c for c in map(chr, range(0x80, 0x180)) if c.isalpha() and c != "\u0130")
@@ -331,6 +331,30 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], definition: str, end: int, by_word: bool) -> Iterator[pa.RecordBatch]:
+    """Batches of ``doc_id, ids`` from batches of ``doc_id, text``."""
+    encoder = _encoder(definition, by_word)
+    for batch in narrow(batches, "text", TEXT_BATCH):
+        ids, counts = encoder.encode(texts(batch.column(1)))
+        whole = np.insert(ids, np.cumsum(counts), end).astype("<u4")
+        ends = np.r_[0, np.cumsum(counts + 1)].astype(np.int64) * 4
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(whole)]
+        held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), buffers)
+        yield pa.RecordBatch.from_arrays([batch.column(0), held], names=["doc_id", "ids"])
+
+
+def _chunked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of chunks from batches of ``doc_id, ids``, all of one part."""
+    from pyspark import TaskContext
+
+    writer = ChunkWriter(TaskContext.get().partitionId(), size)
+    for batch in batches:
+        for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for chunk in writer.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4")):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.binary())], names=["chunk"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(writer.close()), pa.binary())], names=["chunk"])
+
+
 def encode(docs: DataFrame, definition: str, end: int, by_word: bool = False) -> DataFrame:
     """``doc_id, ids`` of ``doc_id, text`` rows: unsigned 32-bit little-endian ids, the end id after each document's.
 
@@ -340,14 +364,11 @@ def encode(docs: DataFrame, definition: str, end: int, by_word: bool = False) ->
     """
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # bounded by the vocabulary
 
-    def run(batch):
-        ids, counts = _encoder(shared.value, by_word).encode(texts(batch.column(1)))
-        whole = np.insert(ids, np.cumsum(counts), end).astype("<u4")
-        ends = np.r_[0, np.cumsum(counts + 1)].astype(np.int64) * 4
-        buffers = [None, pa.py_buffer(ends), pa.py_buffer(whole)]
-        return {"doc_id": batch.column(0), "ids": pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), buffers)}
+    def run(batches):
+        for batch in _encoded(batches, shared.value, end, by_word):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.binary())], names=["doc_id", "ids"])
 
-    return map_batches(docs.select("doc_id", "text"), "text", run, "doc_id long, ids binary", TEXT_BATCH)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def write_ids(encoded: DataFrame, path: str, chunk: int = CHUNK) -> None:
@@ -356,22 +377,26 @@ def write_ids(encoded: DataFrame, path: str, chunk: int = CHUNK) -> None:
     Rows are written in the order in which they are, partition after partition (see ``in_order``).
     ``chunk`` is the number of ids in a chunk, of which a file has up to ``CHUNKS_PER_FILE``.
     """
+    _store(encoded.select("doc_id", "ids").mapInArrow(lambda batches: _chunked(batches, chunk), "chunk binary"), path)
+
+
+def write_documents(
+    docs: DataFrame, path: str, definition: str, end: int, by_word: bool = False, chunk: int = CHUNK
+) -> None:
+    """``encode`` and ``write_ids`` in one pass of each task, over ``doc_id, text`` rows as they are ordered."""
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
+
     def run(batches):
-        from pyspark import TaskContext
+        return _chunked(_encoded(batches, shared.value, end, by_word), chunk)
+
+    _store(docs.select("doc_id", "text").mapInArrow(run, "chunk binary"), path)
 
-        writer = ChunkWriter(TaskContext.get().partitionId(), chunk)
-        for batch in batches:
-            done = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                done += writer.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4"))
-            yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], names=["chunk"])
-        yield pa.RecordBatch.from_arrays([pa.array(list(writer.close()), pa.binary())], names=["chunk"])
 
-    chunks = encoded.select("doc_id", "ids").mapInArrow(run, "chunk binary")
+def _store(chunks: DataFrame, path: str) -> None:
     writer = chunks.select(F.col("chunk").cast("string").alias("value")).write
     writer = writer.option("lineSep", "\n").option("compression", "none").option("maxRecordsPerFile", CHUNKS_PER_FILE)
     writer.text(f"{path}/chunks")
-    _index(_files(encoded.sparkSession, f"{path}/chunks")).write.parquet(f"{path}/index")
+    _index(_files(chunks.sparkSession, f"{path}/chunks")).write.parquet(f"{path}/index")
 
 
 def _files(spark: SparkSession, *paths: str) -> DataFrame:

@@ -272,8 +272,7 @@ def op12_packed_ids(spark, folder):
     path = fresh_path(spark, "packed")
     # This tokenizer's tokens never hold a blank, so words may be encoded one by one.
     ordered = packed_ids.in_order(table(spark, folder, "documents"))
-    encoded = packed_ids.encode(ordered, definition, end=1, by_word=True)
-    packed_ids.write_ids(encoded, path)
+    packed_ids.write_documents(ordered, path, definition, end=1, by_word=True)
     return packed_ids.document_digests(packed_ids.read_pieces(spark, path))
 
 
