@@ -44,8 +44,8 @@ BLOCK = 128
 CHUNK = 1 << 18
 CHUNKS_PER_FILE = 16
 PERCENTILE = 0.9
-TEXT_BATCH = 4 << 20
-MEMO_WORDS, WORDS_AT_ONCE = 400_000, 5_000
+TEXT_BATCH = 8 << 20
+MEMO_WORDS, WORDS_AT_ONCE = 1_000_000, 5_000
 CLOSING = ".,;:!?"
 # Letters of Latin-1 and Latin Extended-A; the dotted capital I becomes two characters when made small.
 LETTERS = "".join(c for c in map(chr, range(0x80, 0x180)) if c.isalpha() and c != "\u0130")
@@ -212,9 +212,10 @@ def chunk_pieces(content: bytes, at: int, fields: tuple, low: int = 0, high: int
 class WordEncoder:
     """Ids of texts by the tokenizers library; what comes again is not encoded again.
 
-    With ``by_word``, texts are cut at blanks and line feeds, and words before the closing marks ``.,;:!?``.
-    Of a batch each distinct word is looked up once, in a memo of bounded size, and encoded if it is new:
-    words of Latin letters, made small, by the tokenizer's model directly, all others by the whole tokenizer.
+    With ``by_word``, texts are cut at blanks and line feeds. The words of a batch are looked up together in
+    a memo of bounded size, kept in flat arrays; new words are cut once more before the closing marks
+    ``.,;:!?`` and encoded: words of Latin letters, made small, by the tokenizer's model directly, all others
+    by the whole tokenizer.
     """
 
     def __init__(self, definition: str, by_word: bool):
@@ -225,10 +226,12 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model, self.by_word = self.tokenizer.model, by_word
-        self.memo: dict[str, bytes] = {}
         # How the model's vocabulary spells the bytes of a letter, for the letters that it is given directly.
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelled = {ord(c): spell(c)[0][0] for c in LETTERS}
+        # The memo: words, and for each where its ids begin and how many they are.
+        self.words = pa.array([], pa.large_string())
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         # Encodings take far more memory than their ids, so few are under way at a time.
@@ -238,24 +241,37 @@ class WordEncoder:
             out += [array("I", f.ids).tobytes() for f in found]
         return out
 
-    def _units(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words, from the memo where they are known."""
-        found = list(map(self.memo.get, words))
-        new = [w for w, ids in zip(words, found) if ids is None]
-        if not new:
-            return found
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo = {w: ids for w, ids in zip(words, found) if ids is not None}  # these stay
-        core, tail, distinct = _cores(pa.array(new, pa.large_string()))
-        parts = dict.fromkeys(distinct)
-        for w in filter(PLAIN.fullmatch, distinct):
-            found_ids = [t.id for t in self.model.tokenize(w if w.isascii() else w.lower().translate(self.spelled))]
-            parts[w] = array("I", found_ids).tobytes()
+    def _encode_cores(self, cores: list[str]) -> list[bytes]:
+        parts = dict.fromkeys(cores)
+        tokenize = self.model.tokenize
+        for w in filter(PLAIN.fullmatch, cores):
+            tokens = tokenize(w if w.isascii() else w.lower().translate(self.spelled))
+            parts[w] = array("I", [t.id for t in tokens]).tobytes()
         other = [w for w, ids in parts.items() if ids is None]
         parts.update(zip(other, self._library(other)))
-        ids = list(parts.values())
-        self.memo.update((w, ids[c] + ids[t]) for w, c, t in zip(new, core.tolist(), tail.tolist()))
-        return [self.memo[w] if x is None else x for w, x in zip(words, found)]
+        return list(parts.values())
+
+    def _learn(self, words: pa.Array) -> None:
+        """Put distinct new words into the memo."""
+        core, tail, distinct = _cores(words)
+        units = self._encode_cores(distinct)
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        order = np.stack([core, tail], axis=1).ravel()
+        ids = np.frombuffer(b"".join(units), "<u4")[spread((np.cumsum(sizes) - sizes)[order], sizes[order])]
+        self._add(words, sizes[core] + sizes[tail], ids)
+
+    def _add(self, words: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
+        self.words, self.sizes = pa.concat_arrays([self.words, words]), np.r_[self.sizes, sizes]
+        self.ids = np.r_[self.ids, ids]
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Keep only the words at the places ``used``."""
+        places = np.unique(used)
+        words, sizes = self.words.take(pa.array(places)), self.sizes[places]
+        ids = self.ids[spread(self.starts[places], sizes)]
+        self.words, self.starts, self.sizes, self.ids = words[:0], self.starts[:0], self.sizes[:0], ids[:0]
+        self._add(words, sizes, ids)
 
     def encode(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
@@ -265,14 +281,20 @@ class WordEncoder:
         slices = [list(_slices(item)) for item in items]
         flat = pa.array([s for some in slices for s in some], pa.large_string())
         split = pc.split_pattern(pc.replace_substring(flat, "\n", " "), " ")
-        coded = split.flatten().dictionary_encode()
-        units = self._units(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, units), np.int64, len(units)) // 4
-        word = coded.indices.to_numpy()
-        per_word = sizes[word]
-        ids = np.frombuffer(b"".join(units), "<u4")[spread((np.cumsum(sizes) - sizes)[word], per_word)]
-        ends = np.r_[0, np.cumsum(per_word)]
+        words = split.flatten()
+        places = pc.index_in(words, value_set=self.words)
+        word = places.fill_null(-1).to_numpy().astype(np.int64)
+        if places.null_count:
+            missing = np.flatnonzero(word < 0)
+            new = words.take(pa.array(missing)).dictionary_encode()
+            word[missing] = len(self.words) + new.indices.to_numpy()
+            self._learn(new.dictionary)
+        sizes = self.sizes[word]
+        ids = self.ids[spread(self.starts[word], sizes)]
+        ends = np.r_[0, np.cumsum(sizes)]
         per_text = np.cumsum([0, *(sum(counts) for counts in _groups(split, slices))])
+        if len(self.words) > MEMO_WORDS:
+            self._forget(word)
         return ids, np.diff(ends[per_text])
 
 
