@@ -44,8 +44,8 @@ BLOCK = 128
 CHUNK = 1 << 18
 CHUNKS_PER_FILE = 16
 PERCENTILE = 0.9
-TEXT_BATCH = 8 << 20
-MEMO_WORDS, WORDS_AT_ONCE = 1_000_000, 5_000
+TEXT_BATCH = 6 << 20
+MEMO_WORDS, WORDS_AT_ONCE = 800_000, 2_000
 CLOSING = ".,;:!?"
 # Letters of Latin-1 and Latin Extended-A; the dotted capital I becomes two characters when made small.
 LETTERS = "".join(c for c in map(chr, range(0x80, 0x180)) if c.isalpha() and c != "\u0130")
@@ -231,7 +231,7 @@ class WordEncoder:
         self.spelled = {ord(c): spell(c)[0][0] for c in LETTERS}
         # The memo: words, and for each where its ids begin and how many they are.
         self.words = pa.array([], pa.large_string())
-        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         # Encodings take far more memory than their ids, so few are under way at a time.
@@ -261,8 +261,9 @@ class WordEncoder:
         self._add(words, sizes[core] + sizes[tail], ids)
 
     def _add(self, words: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
-        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
-        self.words, self.sizes = pa.concat_arrays([self.words, words]), np.r_[self.sizes, sizes]
+        starts = (len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes).astype(np.int32)
+        self.starts, self.sizes = np.r_[self.starts, starts], np.r_[self.sizes, sizes.astype(np.int32)]
+        self.words = pa.concat_arrays([self.words, words])
         self.ids = np.r_[self.ids, ids]
 
     def _forget(self, used: np.ndarray) -> None:
@@ -273,37 +274,38 @@ class WordEncoder:
         self.words, self.starts, self.sizes, self.ids = words[:0], self.starts[:0], self.sizes[:0], ids[:0]
         self._add(words, sizes, ids)
 
-    def encode(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and how many each has."""
+    def encode(self, items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has; a null is the empty text."""
         if not self.by_word:
-            found = [x for item in items for x in self._library([item])]
+            found = [x for item in texts(items) for x in self._library([item])]
             return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
-        slices = [list(_slices(item)) for item in items]
-        flat = pa.array([s for some in slices for s in some], pa.large_string())
+        flat, pieces = _slices(pc.fill_null(items.cast(pa.large_string()), ""))
         split = pc.split_pattern(pc.replace_substring(flat, "\n", " "), " ")
-        words = split.flatten()
+        counts, words = split.value_lengths().to_numpy(), split.flatten()
+        del flat, split
         places = pc.index_in(words, value_set=self.words)
-        word = places.fill_null(-1).to_numpy().astype(np.int64)
+        word = places.fill_null(-1).to_numpy(writable=True, zero_copy_only=False)
         if places.null_count:
             missing = np.flatnonzero(word < 0)
             new = words.take(pa.array(missing)).dictionary_encode()
             word[missing] = len(self.words) + new.indices.to_numpy()
             self._learn(new.dictionary)
+        del words, places
         sizes = self.sizes[word]
-        ids = self.ids[spread(self.starts[word], sizes)]
-        ends = np.r_[0, np.cumsum(sizes)]
-        per_text = np.cumsum([0, *(sum(counts) for counts in _groups(split, slices))])
+        ids = self.ids[_spread(self.starts[word], sizes)]
+        ends = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+        per_text = np.r_[0, np.cumsum(np.add.reduceat(counts, pieces))] if len(pieces) else np.zeros(1, np.int64)
         if len(self.words) > MEMO_WORDS:
             self._forget(word)
         return ids, np.diff(ends[per_text])
 
 
-def _groups(split: pa.Array, slices: list[list[str]]) -> Iterator[list[int]]:
-    """Words of each text's slices."""
-    counts, at = split.value_lengths().to_pylist(), 0
-    for some in slices:
-        yield counts[at:at + len(some)]
-        at += len(some)
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``spread`` in 32 bits, for the ids of one batch."""
+    ends = np.cumsum(counts, dtype=np.int32)
+    out = np.repeat((starts - (ends - counts)).astype(np.int32), counts)
+    out += np.arange(len(out), dtype=np.int32)
+    return out
 
 
 def _cores(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -328,16 +330,23 @@ def _cores(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return core.indices.to_numpy().astype(np.int64), tail, list(places)
 
 
-def _slices(text: str) -> Iterator[str]:
-    """The text in parts of bounded length, cut at blanks."""
-    begin = 0
-    while len(text) - begin > TEXT_BATCH:
-        found = BLANK.search(text, begin + TEXT_BATCH)
-        if found is None:
-            break
-        yield text[begin:found.start()]
-        begin = found.start()
-    yield text[begin:]
+def _slices(items: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts in parts of bounded length, cut at blanks, and the place of each text's first part."""
+    sizes = pc.binary_length(items).to_numpy(zero_copy_only=False)
+    if not len(sizes) or sizes.max() <= TEXT_BATCH:
+        return items, np.arange(len(items))
+    parts, firsts = [], []
+    for text in items.to_pylist():
+        firsts.append(len(parts))
+        begin = 0
+        while len(text) - begin > TEXT_BATCH:
+            found = BLANK.search(text, begin + TEXT_BATCH)
+            if found is None:
+                break
+            parts.append(text[begin:found.start()])
+            begin = found.start()
+        parts.append(text[begin:])
+    return pa.array(parts, pa.large_string()), np.array(firsts)
 
 
 @lru_cache(maxsize=2)
@@ -357,7 +366,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], definition: str, end: int, by_wo
     """Batches of ``doc_id, ids`` from batches of ``doc_id, text``."""
     encoder = _encoder(definition, by_word)
     for batch in narrow(batches, "text", TEXT_BATCH):
-        ids, counts = encoder.encode(texts(batch.column(1)))
+        ids, counts = encoder.encode(batch.column(1))
         whole = np.insert(ids, np.cumsum(counts), end).astype("<u4")
         ends = np.r_[0, np.cumsum(counts + 1)].astype(np.int64) * 4
         buffers = [None, pa.py_buffer(ends), pa.py_buffer(whole)]
