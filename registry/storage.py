@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from registry.base import query, table
 from registry.bindings import stored, with_cleaned
-from registry.warehouse import DATASETS, _summary_sql, full
-from tamiz.operators.profile import dataset_summary, warehouse_summary
+from registry.loads import _final_sql, _warehouse_sql, contents, contents_sql, unknown_member
+from registry.warehouse import DATASETS
+from tamiz.operators.profile import dataset_summary
 from tamiz.operators.quality import check_expected_total
-from tamiz.plans.dimensions import build_dimension
-from tamiz.schemas import LOAD_ORDER, WAREHOUSE, conform_rejects
+from tamiz.schemas import LOAD_ORDER, WAREHOUSE, conform, conform_rejects
 from tamiz.session import fresh_path
 from tamiz.sources import warehouse as w
 from tamiz.sources.csv import normalize_null_tokens, read_raw_csv
@@ -114,52 +114,37 @@ def _(spark, sf):
     return dataset_summary(zone).drop("columns")
 
 
-@query("write_integrated", _summary_sql("before_dims"))
+@query("write_integrated", contents_sql(1))
 def _(spark, sf):
-    """The 13 tables written to a zone and counted there."""
-    built = full(spark, sf)
+    """The 13 tables written to a zone and compared row by row there."""
+    built = unknown_member(spark, sf)
     folder = fresh_path(spark, "integrated")
-    write_integrated(built.tables, folder)
-    zone = load_zone(spark, folder, LOAD_ORDER)
-    return warehouse_summary(
-        {n: zone[n] for n in built.dimensions}, {n: zone[n] for n in built.facts}
-    )
+    write_integrated({n: conform(df, WAREHOUSE[n]) for n, df in built.tables.items()}, folder)
+    return contents(load_zone(spark, folder, LOAD_ORDER))
 
 
-def _database(spark) -> tuple[str, str]:
+def _loaded(spark, sf) -> str:
+    """A database of its own with the 13 tables, and one more."""
     name = f"dw_{uuid.uuid4().hex[:12]}"
-    return name, fresh_path(spark, name)
+    w.create_tables(spark, name, fresh_path(spark, name))
+    w.load_warehouse(spark, name, unknown_member(spark, sf).tables)
+    table(spark, sf, "orders").write.saveAsTable(f"{name}.notas")
+    return name
 
 
-@query("load_warehouse", _summary_sql("before_dims"))
+@query("load_warehouse", contents_sql(1))
 def _(spark, sf):
-    """The 13 tables created, loaded in order and counted in the catalog."""
-    name, place = _database(spark)
-    w.create_tables(spark, name, place)
-    built = full(spark, sf)
-    w.load_warehouse(spark, name, built.tables)
-    loaded = {n: spark.table(f"{name}.{n}") for n in LOAD_ORDER}
-    return warehouse_summary(
-        {n: loaded[n] for n in built.dimensions}, {n: loaded[n] for n in built.facts}
-    )
+    """The 13 tables created, checked by all rules, loaded in order and compared row by row in the catalog."""
+    name = _loaded(spark, sf)
+    return contents({n: spark.table(f"{name}.{n}") for n in LOAD_ORDER})
 
 
-def _small_warehouse(spark, sf):
-    """Two tables in a database of their own, loaded from the driver tables."""
-    name, place = _database(spark)
-    w.create_tables(spark, name, place, [WAREHOUSE["dim_empresa"], WAREHOUSE["dim_competencia"]])
-    companies = build_dimension(
-        table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id_empresa_original")),
-        "id_empresa_original", (), "empresa_sk",
-    )
-    skills = build_dimension(
-        table(spark, sf, "part").select(F.col("p_name").alias("nombre_competencia")),
-        "nombre_competencia", (), "competencia_sk",
-    )
-    tables = {"dim_empresa": companies, "dim_competencia": skills}
-    w.load_warehouse(spark, name, tables, list(tables))
-    table(spark, sf, "orders").write.saveAsTable(f"{name}.notas")
-    return name
+def _counts_sql() -> str:
+    parts = [
+        f"""SELECT '{n}' AS "table", '{t.kind}' AS kind, count(*) AS rows FROM ({_final_sql(n)})""" for n, t in WAREHOUSE.items()
+    ]
+    return f"""{_warehouse_sql(1)}, counts AS ({' UNION ALL '.join(parts)}
+        UNION ALL SELECT 'notas', 'Other', count(*) FROM orders)"""
 
 
 @query("conform_rejects", """
@@ -177,42 +162,37 @@ def _(spark, sf):
     return conform_rejects(rows, WAREHOUSE["dim_vacante"])
 
 
-@query("table_stats", """
-    SELECT 'dim_empresa' AS "table", 'Dimension' AS kind, count(*) AS rows FROM supplier UNION ALL
-    SELECT 'dim_competencia', 'Dimension', count(DISTINCT p_name) FROM part UNION ALL
-    SELECT 'notas', 'Other', count(*) FROM orders""")
+@query("table_stats", f"{_counts_sql()} SELECT * FROM counts")
 def _(spark, sf):
-    return w.table_stats(spark, _small_warehouse(spark, sf))
+    return w.table_stats(spark, _loaded(spark, sf))
 
 
-@query("validate_warehouse_structure", """
-    SELECT 'dim_empresa' AS "table", 'found' AS status, true AS ok UNION ALL
-    SELECT 'dim_competencia', 'found', true UNION ALL
-    SELECT 'dim_tiempo', 'missing', false UNION ALL SELECT 'notas', 'extra', false""")
+@query("validate_warehouse_structure", f"""{_counts_sql()}
+    SELECT "table", CASE WHEN kind = 'Other' THEN 'extra' ELSE 'found' END AS status, kind <> 'Other' AS ok, rows FROM counts
+    UNION ALL SELECT 'dim_fuente', 'missing', false, NULL""")
 def _(spark, sf):
-    name = _small_warehouse(spark, sf)
-    return w.validate_warehouse_structure(spark, name, ["dim_empresa", "dim_competencia", "dim_tiempo"])
+    """The loaded 13 tables with their rows, one that is not expected and one that is not there."""
+    return w.validate_warehouse_structure(spark, _loaded(spark, sf), [*LOAD_ORDER, "dim_fuente"])
 
 
-@query("run_query", """
-    SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_orderstatus""")
+@query("run_query", f"""{_warehouse_sql(1)}
+    SELECT u.departamento, count(*) AS n, count(*) FILTER (h.activo) AS activas
+    FROM ({_final_sql('hechos_vacante')}) h JOIN ({_final_sql('dim_ubicacion')}) u USING (ubicacion_sk)
+    JOIN ({_final_sql('dim_empresa')}) e USING (empresa_sk)
+    WHERE e.id_empresa_original <> '7' GROUP BY u.departamento""")
 def _(spark, sf):
-    name = _small_warehouse(spark, sf)
+    name = _loaded(spark, sf)
     return w.run_query(
-        spark, f"SELECT o_orderstatus, count(*) AS n FROM {name}.notas"
-        " WHERE o_orderpriority = :priority GROUP BY o_orderstatus", priority="1-URGENT",
+        spark, f"""SELECT u.departamento, count(*) AS n, count_if(h.activo) AS activas FROM {name}.hechos_vacante h
+            JOIN {name}.dim_ubicacion u USING (ubicacion_sk) JOIN {name}.dim_empresa e USING (empresa_sk)
+            WHERE e.id_empresa_original <> :company GROUP BY u.departamento""", company="7",
     )
 
 
-@query("loaded_total", """
-    SELECT (SELECT count(*) FROM supplier) + (SELECT count(DISTINCT p_name) FROM part)
-             + (SELECT count(*) FROM orders) AS total, 15000::BIGINT AS expected,
-           (SELECT count(*) FROM supplier) + (SELECT count(DISTINCT p_name) FROM part)
-             + (SELECT count(*) FROM orders) - 15000 AS difference,
-           abs((SELECT count(*) FROM supplier) + (SELECT count(DISTINCT p_name) FROM part)
-             + (SELECT count(*) FROM orders) - 15000) <= 200 AS ok""")
+@query("loaded_total", f"""{_counts_sql()}, summed AS (SELECT CAST(sum(rows) AS BIGINT) AS total FROM counts)
+    SELECT total, 15000::BIGINT AS expected, total - 15000 AS difference, abs(total - 15000) <= 200 AS ok FROM summed""")
 def _(spark, sf):
-    return check_expected_total(w.table_stats(spark, _small_warehouse(spark, sf)), 15000, 200)
+    return check_expected_total(w.table_stats(spark, _loaded(spark, sf)), 15000, 200)
 
 
 _COLUMNS = {

@@ -12,11 +12,14 @@ from tamiz.functions.numeric import round_half_even
 from tamiz.functions.text import strip_spaces
 
 __all__ = [
-    "DATE_FORMATS", "DAY_NAMES", "MONTH_NAMES", "calendar_attributes", "duration_days",
+    "DATE_FORMATS", "DAY_FIRST", "DAY_NAMES", "MONTH_NAMES", "calendar_attributes", "duration_days",
     "duration_months", "duration_years", "is_weekend", "localized_day", "localized_month",
     "mixed_formats", "parse_dates", "parse_mixed_dates", "truncate_day",
 ]
 
+# How cleaners and reports read a date that fits day first and month first alike.
+DAY_FIRST = True
+
 # Accepted spellings, tried in this order. Day-first is a choice: pass another
 # list for month-first data.
 DATE_FORMATS = (
@@ -135,11 +138,12 @@ def mixed_formats(day_first: bool = False) -> list[str]:
     year_last = [order.format(sep) + time for order in orders for sep in "/-." for time in times]
     short_years = [order.format("/").replace("yyyy", "yy") for order in orders]
     named = ["d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMMM yyyy", "d-MMM-yyyy HH:mm"]
-    halves = [f"{date} h:mm{seconds} a" for date in ("yyyy-MM-dd", *(o.format("/") for o in orders))
+    named += [f"{date} HH:mm[:ss]" for date in ("MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy")]
+    halves = [f"{date} h:mm{seconds} a" for date in ("yyyy-MM-dd", "yyyy/MM/dd", *(o.format("/") for o in orders))
               for seconds in ("", ":ss")]
-    zones = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS]XXX", "yyyy-MM-dd HH:mm:ssXXX"]
+    zones = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS]XXX", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssXX"]
     return [
-        *year_first, "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "yyyyMMdd", *year_last, *single_digits, *short_years,
+        *year_first, "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "yyyyMMdd", "yyyyMMddHHmmss", *year_last, *single_digits, *short_years,
         *named, *halves, *zones,
     ]
 

@@ -8,6 +8,8 @@ partitions at run time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,17 +27,26 @@ def lookup_key(
     null_safe: bool = False,
     default_sk: int | Column | None = None,
     as_name: str | None = None,
+    salt: str | Sequence[str] | None = "*",
 ) -> DataFrame:
     """Add the surrogate key of the dimension row with the fact's natural key.
 
     ``how="left"`` keeps unmatched rows, with ``default_sk`` if given;
     ``how="inner"`` drops them. ``null_safe`` lets null match null. Rows without a
     key carry a salt, so that a shuffle does not send all of them to one task; the
-    dimension's null member is there once per salt.
+    dimension's null member is there once per salt. The salt is a hash of all columns, or of those that
+    ``salt`` names; with ``salt=None`` there is none, and tables bucketed by the keys meet without a shuffle.
     """
     target = as_name or sk_name
+    if salt is None:
+        side = dim.select(F.col(dim_key).alias(_KEY), F.col(sk_name).alias(target))
+        own, other = fact[fact_key], side[_KEY]
+        out = fact.join(side, own.eqNullSafe(other) if null_safe else own == other, how).drop(_KEY)
+        return _defaulted(out, target, default_sk)
     none, zero = F.col(fact_key).isNull(), F.lit(0).cast("long")
     hashed = [f.name for f in fact.schema.fields if not f.dataType.simpleString().count("map<")]
+    if salt != "*":
+        hashed = [salt] if isinstance(salt, str) else list(salt)
     salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in hashed)), F.lit(_SALTS).cast("long"))
     fact = fact.withColumn(_SALT, F.when(none, salt).otherwise(zero))
     side = dim.select(F.col(dim_key).alias(_KEY), F.col(sk_name).alias(target))
@@ -47,6 +58,10 @@ def lookup_key(
     own, other = fact[fact_key], side[_KEY]
     condition = own.eqNullSafe(other) if null_safe else own == other
     out = fact.join(side, condition & (fact[_SALT] == side[_SALT]), how).drop(_KEY, _SALT)
+    return _defaulted(out, target, default_sk)
+
+
+def _defaulted(out: DataFrame, target: str, default_sk: int | Column | None) -> DataFrame:
     if default_sk is not None:
         default = default_sk if isinstance(default_sk, Column) else F.lit(default_sk)
         out = out.withColumn(target, F.coalesce(target, default))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.session import materialize
 
-_POSITION = "__position"
+_POSITION, _KNOWN = "__position", "__known"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
@@ -42,3 +43,42 @@ def assign_surrogate_key(
     return placed.select(
         (F.get(first_keys, block) + row_in_block).alias(sk_name), *df.columns
     )
+
+
+@dataclass(frozen=True)
+class KeyMap:
+    """``members``: all rows of the dimension. ``added``: those that came with this load."""
+
+    members: DataFrame
+    added: DataFrame
+
+
+def extend_keys(
+    known: DataFrame, incoming: DataFrame, key: str, sk_name: str, changed: str = "keep"
+) -> KeyMap:
+    """Members of a dimension that was loaded before, with those of a later load.
+
+    A member that is known keeps its surrogate key; the others get the next ones, dense and by ascending
+    ``key`` (nulls equal each other and come last). ``changed="keep"`` also keeps the known attributes,
+    ``"update"`` takes those of the later load. ``incoming`` has one row per ``key``; its own surrogate
+    keys, if there, are not looked at. Keys below 1, as of an unknown member, do not count as the last one.
+    """
+    if changed not in ("keep", "update"):
+        raise ValueError(f"changed must be keep or update, not {changed!r}")
+    attributes = [c for c in known.columns if c not in (sk_name, key)]
+    later = incoming.select(key, *[c for c in attributes if c in incoming.columns])
+    mine = known.select(F.col(key).alias(_KNOWN))
+    new = later.join(mine, later[key].eqNullSafe(mine[_KNOWN]), "left_anti")
+    last = known.agg(F.greatest(F.coalesce(F.max(sk_name), F.lit(0)), F.lit(0)).alias("last")).first()["last"]
+    added = assign_surrogate_key(new, sk_name, [key], start=int(last) + 1)
+    added = known.limit(0).unionByName(added, allowMissingColumns=True)
+    if changed == "keep" or not attributes:
+        return KeyMap(known.unionByName(added), added)
+    present = [c for c in attributes if c in incoming.columns]
+    other = later.select(F.col(key).alias(_KNOWN), F.lit(True).alias(_POSITION), *[F.col(c).alias(f"__{c}") for c in present])
+    joined = known.join(other, known[key].eqNullSafe(other[_KNOWN]), "left")
+    updated = joined.select(*[
+        F.when(F.col(_POSITION), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in present else F.col(c)
+        for c in known.columns
+    ])
+    return KeyMap(updated.unionByName(added), added)

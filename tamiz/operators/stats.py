@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions import bin_duration, bin_duration_order, percent_of, round_half_even, safe_ratio
-from tamiz.operators.quantiles import exact_quantiles
+from tamiz.operators.quantiles import ValueRuns
 
 
 def _number(column: str) -> Column:
@@ -33,22 +33,16 @@ def _one_row_to_long(row: DataFrame, columns: Sequence[str], measures: Sequence[
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max of each column."""
-    aggregates = []
-    for c in columns:
-        value = _number(c)
-        aggregates += [
-            F.count(value).alias(f"{c}__count"), F.avg(value).alias(f"{c}__mean"),
-            F.stddev_samp(value).alias(f"{c}__std"), F.min(value).alias(f"{c}__min"),
-            F.max(value).alias(f"{c}__max"),
-        ]
-    moments = _one_row_to_long(df.agg(*aggregates), columns, ["count", "mean", "std", "min", "max"])
-    quartiles = exact_quantiles(
-        _long_form(df, columns), "value", (0.25, 0.5, 0.75), ["column"], names=("p25", "p50", "p75")
-    )
-    return moments.join(quartiles, "column", "left").select(
+    """count, mean, std, min, quartiles and max of each column, all from one scan."""
+    runs = ValueRuns.of(_long_form(df, columns), "value", ["column"])
+    moments = runs.moments(("count", "mean", "std", "min", "max"))
+    quartiles = runs.quantiles((0.25, 0.5, 0.75), ("p25", "p50", "p75"))
+    found = moments.join(quartiles, "column", "left").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
+    # A table without rows has no cells, yet each column is described.
+    names = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("column"))
+    return names.join(found, "column", "left").withColumn("count", F.coalesce("count", F.lit(0)))
 
 
 def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -70,15 +64,10 @@ def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, column: str) -> DataFrame:
-    """min, max, mean, median, std, sum and number of nulls of one column."""
-    value = _number(column)
-    moments = df.agg(
-        F.count(value).alias("count"), F.count_if(value.isNull()).alias("nulls"),
-        F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"), F.sum(value).alias("sum"),
-    )
-    median = exact_quantiles(df, column, (0.5,), names=("median",))
-    return moments.withColumn("median", median.scalar())
+    """min, max, mean, median, std, sum and number of nulls of one column, from one scan."""
+    runs = ValueRuns.of(df, column)
+    moments = runs.moments(("count", "nulls", "min", "max", "mean", "std", "sum"))
+    return moments.withColumn("median", runs.quantiles((0.5,), ("median",)).scalar())
 
 
 def ratio_summary(df: DataFrame, numerator: str, denominator: str) -> DataFrame:
@@ -90,11 +79,9 @@ def ratio_summary(df: DataFrame, numerator: str, denominator: str) -> DataFrame:
 def group_stats(df: DataFrame, by: str, column: str, digits: int = 2) -> DataFrame:
     """Mean, median, standard deviation and count per non-null group, rounded."""
     grouped = df.filter(F.col(by).isNotNull()).select(by, _number(column).alias("value"))
-    moments = grouped.groupBy(by).agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.count("value").alias("count"),
-    )
-    medians = exact_quantiles(grouped, "value", (0.5,), [by], names=("median",))
+    runs = ValueRuns.of(grouped, "value", [by])
+    moments = runs.moments(("mean", "std", "count"))
+    medians = runs.quantiles((0.5,), ("median",))
     return moments.join(medians, by, "left").select(
         by,
         *[round_half_even(F.col(m), digits).alias(m) for m in ("mean", "median", "std")],
@@ -197,14 +184,15 @@ def box_stats(df: DataFrame, column: str, by: str | None = None, reach: float =
     values = df.select(group, _number(column).alias("x")).filter(
         F.col("group").isNotNull() & F.col("x").isNotNull()
     )
-    # Equal values share their fate: count them before they meet the fences.
-    counted = values.groupBy("group", "x").agg(F.count(F.lit(1)).alias("n"))
-    names, points = ("q1", "median", "q3"), (0.25, 0.5, 0.75)
+    # Equal values share their fate: the stored counts meet the fences.
+    runs = ValueRuns.of(values, "x", [] if by is None else ["group"])
+    names = ("q1", "median", "q3")
+    quartiles, counted = runs.quantiles((0.25, 0.5, 0.75), names), runs.values("x", "n")
     if by is None:
-        row = exact_quantiles(values, "x", points, names=names).select(F.struct(*names).alias("q"))
-        fenced = counted.withColumn("q", row.scalar()).select("*", "q.*")
+        whole = quartiles.select(F.struct(*names).alias("q")).scalar()
+        fenced = counted.select(group, "x", "n", whole.alias("q")).select("*", "q.*")
     else:
-        fenced = counted.join(exact_quantiles(values, "x", points, ["group"], names=names), "group")
+        fenced = counted.join(quartiles, "group")
     fence = (F.col("q3") - F.col("q1")) * reach
     inside = F.col("x").between(F.col("q1") - fence, F.col("q3") + fence)
     return (

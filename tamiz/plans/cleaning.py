@@ -18,6 +18,7 @@ from tamiz.functions import (
     parse_dates, to_number, zero_pad_code,
 )
 from tamiz.operators.columns import columns_matching, require_columns
+from tamiz.operators.date_formats import parse_inferred_dates
 from tamiz.operators.dedupe import drop_exact_duplicates, validate_primary_key
 from tamiz.operators.filters import drop_null_keys, filter_range
 from tamiz.operators.profile import cleaning_report, null_profile
@@ -45,14 +46,18 @@ def clean_number_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def clean_dates(
-    df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS
+    df: DataFrame, columns: Sequence[str], formats: Sequence[str] | str = DATE_FORMATS
 ) -> DataFrame:
-    """Parse text columns; columns that are dates already only change type."""
-    out = {}
-    for c in columns:
-        if c in df.columns:
-            is_text = isinstance(df.schema[c].dataType, T.StringType)
-            out[c] = parse_dates(F.col(c), formats) if is_text else F.col(c).cast("timestamp_ntz")
+    """Parse text columns; columns that are dates already only change type.
+
+    With ``formats="infer"`` each column is looked at first, and read with the one format that most of its
+    values fit (see ``date_formats``).
+    """
+    present = [c for c in columns if c in df.columns]
+    texts = [c for c in present if isinstance(df.schema[c].dataType, T.StringType)]
+    if formats == "infer":
+        df, texts, present = parse_inferred_dates(df, texts), [], [c for c in present if c not in texts]
+    out = {c: parse_dates(F.col(c), formats) if c in texts else F.col(c).cast("timestamp_ntz") for c in present}
     return df.withColumns(out) if out else df
 
 
@@ -121,7 +126,7 @@ def clean_disability(df: DataFrame, order_by: str = ROW_ORDER) -> DataFrame:
 
 
 def clean_education(
-    df: DataFrame, order_by: str = ROW_ORDER, formats: Sequence[str] = DATE_FORMATS
+    df: DataFrame, order_by: str = ROW_ORDER, formats: Sequence[str] | str = DATE_FORMATS
 ) -> DataFrame:
     out = drop_null_keys(df, "ID_POSTULANTE")
     out = clean_text_columns(out, ["NIVEL_EDUCATIVO", "ESTADO"])
@@ -132,7 +137,7 @@ def clean_education(
 
 
 def clean_experience(
-    df: DataFrame, order_by: str = ROW_ORDER, formats: Sequence[str] = DATE_FORMATS,
+    df: DataFrame, order_by: str = ROW_ORDER, formats: Sequence[str] | str = DATE_FORMATS,
     date_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     out = drop_null_keys(df, "ID_POSTULANTE")
@@ -145,7 +150,7 @@ def clean_experience(
 
 
 def clean_vacancies(
-    df: DataFrame, order_by: str = ROW_ORDER, formats: Sequence[str] = DATE_FORMATS
+    df: DataFrame, order_by: str = ROW_ORDER, formats: Sequence[str] | str = DATE_FORMATS
 ) -> DataFrame:
     """One row per vacancy id, so no further comparison of whole rows."""
     out = validate_primary_key(df, "AVISOID", order_by)

@@ -115,7 +115,9 @@ def build_fact_vacancy(
     return settle_null_keys(fact, null_keys)
 
 
-def build_fact_required_skill(datasets: Datasets, dims: Tables) -> DataFrame:
+def build_fact_required_skill(
+    datasets: Datasets, dims: Tables, null_keys: str | int = "drop"
+) -> DataFrame:
     """A row per required skill; repeated requirements stay."""
     source = datasets["competencias"].select("AVISOID", "NOMBRECOMPETENCIA")
     fact = lookup_key(
@@ -123,6 +125,6 @@ def build_fact_required_skill(datasets: Datasets, dims: Tables) -> DataFrame:
     )
     fact = lookup_key(
         fact, dims["dim_competencia"], "NOMBRECOMPETENCIA", "nombre_competencia",
-        "competencia_sk", "inner", null_safe=True,
+        "competencia_sk", "inner" if null_keys == "drop" else "left", null_safe=True,
     )
-    return fact.select("vacante_sk", "competencia_sk")
+    return settle_null_keys(fact.select("vacante_sk", "competencia_sk"), null_keys)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions import (
-    categorize_experience, duration_days, duration_months, duration_years, parse_mixed_dates,
+    DAY_FIRST, categorize_experience, duration_days, duration_months, duration_years, parse_mixed_dates,
 )
 from tamiz.operators import frequency, profile, stats
 from tamiz.operators.columns import columns_of_type
@@ -53,7 +53,7 @@ def disability_analysis(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def with_durations(
-    df: DataFrame, start: str = "FECHAINICIO", end: str = "FECHAFIN", day_first: bool = False
+    df: DataFrame, start: str = "FECHAINICIO", end: str = "FECHAFIN", day_first: bool = DAY_FIRST
 ) -> DataFrame:
     """Parsed dates, and the span between them in days, months and years."""
     types = dict(df.dtypes)
@@ -69,7 +69,7 @@ def with_durations(
     })
 
 
-def experience_analysis(df: DataFrame, day_first: bool = False) -> dict[str, DataFrame]:
+def experience_analysis(df: DataFrame, day_first: bool = DAY_FIRST) -> dict[str, DataFrame]:
     """How many dates parse, and the spans they give."""
     spans = with_durations(df, day_first=day_first)
     valid = filter_positive_duration(spans, "duracion_dias")

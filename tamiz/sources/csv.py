@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tamiz.functions import NA_TOKENS, null_if_token
 from tamiz.operators.columns import normalize_headers
+from tamiz.sources.records import find_splits, quoted_records
 
-_RECORD = "__record"
+_RECORD, _AT = "__record", "__at"
 _END = "\u0001end\u0001"
 
 
@@ -69,19 +70,34 @@ def read_raw_csv(
     ``encodings``: each file is read in the first of them that fits its bytes (see
     ``first_fitting``). ``bad_lines``: lines with too many cells raise an ``error`` or are
     left out with ``skip``; short lines are padded with nulls. ``multiline``
-    None looks whether quoted cells span lines: only files where they do are read whole.
-    ``row_order`` names a column that ascends with the lines of each file.
+    None looks whether quoted cells span lines: in files where they do records are put together
+    from lines (see ``records.py``), by many tasks per file; only wide encodings and files whose
+    lines end with a carriage return alone are read whole, by one task each, as are all files with
+    ``multiline=True``. ``row_order`` names a column that ascends with the lines of each file.
     """
     if bad_lines not in ("error", "skip"):
         raise ValueError(f"bad_lines must be error or skip, not {bad_lines!r}")
     groups: dict[tuple[str, bool], list[str]] = {}
+    spread: dict[str, list[str]] = {}
     if multiline is None or len(encodings) > 1:
         for file, (utf8, nulls, spans) in sorted(inspect_files(spark, path).items()):
             encoding = first_fitting(encodings, utf8, nulls)
             # The reader finds the line ends of wide encodings only in whole files.
-            whole = nulls or (spans if multiline is None else multiline)
-            groups.setdefault((encoding, whole), []).append(file)
-    if len(groups) < 2:
+            if multiline is None and spans and not nulls:
+                spread.setdefault(encoding, []).append(file)
+            else:
+                groups.setdefault((encoding, nulls or bool(multiline)), []).append(file)
+    known = {}
+    for encoding, files in list(spread.items()):
+        known[encoding] = find_splits(spark, files, encoding)
+        whole = {unquote(f) for f in known[encoding].bare}
+        spread[encoding] = [f for f in files if f not in whole]
+        if whole:
+            groups.setdefault((encoding, True), []).extend(sorted(whole))
+        if whole and spread[encoding]:
+            known[encoding] = find_splits(spark, spread[encoding], encoding)
+    spread = {encoding: files for encoding, files in spread.items() if files}
+    if len(groups) < 2 and not spread:
         # All files alike: the path as it was given.
         alike = next(iter(groups), (encodings[0], bool(multiline)))
         groups = {alike: [path]}
@@ -92,16 +108,31 @@ def read_raw_csv(
             mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD, columnPruning=False,
         )
 
-    first, files = next(iter(groups.items()))
-    header = list(columns) if columns else reader(*first).csv(files).columns
+    if columns:
+        header = list(columns)
+    else:
+        everything = [*groups.items(), *(((encoding, True), files) for encoding, files in spread.items())]
+        kind, files = min(everything, key=lambda g: g[1][0])
+        header = reader(*kind).csv(files).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _RECORD]])
-    df = None
+    parts = []
     for kind, files in groups.items():
         part = reader(*kind).schema(schema).csv(files)
-        df = part if df is None else df.unionByName(part)
-    if row_order:
-        # Ascends along each file; a retried task gives its rows the same numbers.
-        df = df.withColumn(row_order, F.monotonically_increasing_id())
+        parts = [parts[0].unionByName(part) if parts else part]
+    # Ascends along each file; a retried task gives its rows the same numbers.
+    parts = [part.withColumn(_AT, F.monotonically_increasing_id()) for part in parts]
+    for number, (encoding, files) in enumerate(spread.items(), 1):
+        records = quoted_records(spark, files, known[encoding].splits, encoding, number)
+        ddl = ", ".join("`{}` STRING".format(name.replace("`", "``")) for name in schema.names)
+        parsed = F.from_csv("record", ddl, {
+            "quote": '"', "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": _RECORD,
+        })
+        # As the rows of a generator, the cells of a record are parsed together and once.
+        parts.append(records.select("at", F.inline(F.array(parsed))).withColumnRenamed("at", _AT))
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part)
+    df = df.withColumnRenamed(_AT, row_order) if row_order else df.drop(_AT)
     fits = _has_no_extra_cell(header)
     if bad_lines == "skip":
         df = df.filter(fits)

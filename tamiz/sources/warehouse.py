@@ -62,12 +62,13 @@ def load_warehouse(
     database: str,
     tables: Mapping[str, DataFrame],
     order: Sequence[str] = LOAD_ORDER,
-    rules: Sequence[str] = ("casts",),
+    rules: Sequence[str] = RULES,
 ) -> list[str]:
-    """Append the given tables in load order; an error if one is missing or breaks a rule.
+    """Append the given tables in load order; an error if one is missing or breaks one of ``rules``.
 
     All tables are stored and checked before the first one is written, so a bad
-    value leaves the warehouse as it was. ``rules`` may name any of ``RULES``.
+    value leaves the warehouse as it was. The catalog has no transactions: a failure while
+    tables are written can leave some of them loaded. ``versions.VersionedWarehouse`` has none of that.
     """
     missing = [name for name in order if name not in tables]
     if missing:
@@ -109,7 +110,7 @@ def run_query(spark: SparkSession, query: str, **args: object) -> DataFrame:
 def validate_warehouse_structure(
     spark: SparkSession, database: str, expected: Sequence[str] = LOAD_ORDER
 ) -> DataFrame:
-    """table, status (found, missing or extra) and ok; ``v_`` views are ignored."""
+    """table, status (found, missing or extra), ok and rows (null if missing); ``v_`` views are ignored."""
     found = {t for t in list_tables(spark, database) if not t.startswith("v_")}
     rows = []
     for name in sorted(found | set(expected)):
@@ -117,7 +118,8 @@ def validate_warehouse_structure(
             "missing" if name in expected else "extra"
         )
         rows.append((name, status, status == "found"))
-    return spark.createDataFrame(rows, "table string, status string, ok boolean")
+    report = spark.createDataFrame(rows, "table string, status string, ok boolean")
+    return report.join(table_stats(spark, database).select("table", "rows"), "table", "left")
 
 
 def table_stats(spark: SparkSession, database: str) -> DataFrame:

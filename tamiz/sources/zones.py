@@ -58,3 +58,25 @@ def write_integrated(
 ) -> dict[str, str]:
     """Write every warehouse table to its own place in a zone."""
     return {name: write_cleaned(df, folder, name, csv=csv) for name, df in tables.items()}
+
+
+def write_bucketed(
+    tables: Mapping[str, DataFrame], database: str, folder: str, buckets: Mapping[str, tuple[str, int]]
+) -> dict[str, str]:
+    """Write tables to a zone and to the catalog, those in ``buckets`` hashed and sorted by a column.
+
+    ``buckets`` maps a table to (column, number). Tables with the same number, bucketed by the columns that
+    they are joined on, are joined without a shuffle (``lookup_key`` with ``salt=None``). A value that a large
+    part of the rows share, null included, is in one bucket: bucket by columns without such values.
+    """
+    paths = {}
+    for name, df in tables.items():
+        paths[name] = f"{folder}/{name}"
+        writer = df.write.mode("overwrite").format("parquet").option("path", paths[name])
+        if name in buckets:
+            column, number = buckets[name]
+            # Rows are dealt like the buckets first, so that a task writes one file and not one per bucket.
+            writer = df.repartition(number, column).write.mode("overwrite").format("parquet").option("path", paths[name])
+            writer = writer.bucketBy(number, column).sortBy(column)
+        writer.saveAsTable(f"{database}.{name}")
+    return paths
