@@ -198,10 +198,8 @@ def _(spark, sf):
     FROM orders GROUP BY o_custkey""")
 def _(spark, sf):
     orders = table(spark, sf, "orders")
-    keys = stats.group_stats(orders, "o_custkey", "o_orderkey", 1).select(
-        "o_custkey", F.col("median").alias("median_key")
-    )
-    out = stats.group_stats(orders, "o_custkey", "o_totalprice").drop("median")
+    keys = stats.group_stats(orders, "o_custkey", "o_orderkey", 1, ["median"]).withColumnRenamed("median", "median_key")
+    out = stats.group_stats(orders, "o_custkey", "o_totalprice", measures=["mean", "std", "count"])
     return out.join(keys, "o_custkey")
 
 

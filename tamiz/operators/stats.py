@@ -76,17 +76,22 @@ def ratio_summary(df: DataFrame, numerator: str, denominator: str) -> DataFrame:
     return numeric_summary(ratios, "ratio").select("mean", "median", "max")
 
 
-def group_stats(df: DataFrame, by: str, column: str, digits: int = 2) -> DataFrame:
-    """Mean, median, standard deviation and count per non-null group, rounded."""
+def group_stats(
+    df: DataFrame, by: str, column: str, digits: int = 2,
+    measures: Sequence[str] = ("mean", "median", "std", "count"),
+) -> DataFrame:
+    """Mean, median, standard deviation and count per non-null group, rounded; only what ``measures`` names."""
     grouped = df.filter(F.col(by).isNotNull()).select(by, _number(column).alias("value"))
-    runs = ValueRuns.of(grouped, "value", [by])
-    moments = runs.moments(("mean", "std", "count"))
-    medians = runs.quantiles((0.5,), ("median",))
-    return moments.join(medians, by, "left").select(
-        by,
-        *[round_half_even(F.col(m), digits).alias(m) for m in ("mean", "median", "std")],
-        "count",
-    )
+    aggregates = {
+        "mean": F.avg("value"), "std": F.stddev_samp("value"), "count": F.count("value"),
+    }
+    wanted = [aggregates[m].alias(m) for m in measures if m in aggregates]
+    out = grouped.groupBy(by).agg(*wanted) if wanted else None
+    if "median" in measures:
+        medians = ValueRuns.of(grouped, "value", [by]).quantiles((0.5,), ("median",))
+        # A group without values has no median, but is a group.
+        out = (out if out is not None else grouped.select(by).distinct()).join(medians, by, "left")
+    return out.select(by, *[F.col(m) if m == "count" else round_half_even(F.col(m), digits).alias(m) for m in measures])
 
 
 def text_length_stats(
