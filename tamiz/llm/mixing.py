@@ -31,6 +31,7 @@ from tamiz.session import materialize
 
 GROUP_ROWS = 4096  # documents that one reduction takes at most, on average
 FAN_IN = 64  # residuals that one further reduction takes
+_ROW = "mix_row"
 
 
 def word_count(text: str = "text"):
@@ -145,13 +146,18 @@ def pivotal_round(docs: DataFrame, source: str, doc_id: str, seed: int = 0) -> D
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0,
+    row: str | None = None,
 ) -> DataFrame:
     """How often a mix takes each document.
 
     Returns ``doc_id, size, source_size, target, copies, taken``, one row per row of ``docs``; other columns
-    are left out. ``taken`` is ``copies * size`` and at most ``most`` times ``size``.
+    are left out, but for ``row``, which may name a number of the rows. ``taken`` is ``copies * size`` and at
+    most ``most`` times ``size``.
     """
-    narrow = docs.select(F.col(source).alias("source"), F.col(doc_id).alias("doc_id"), word_count(text).alias("size"))
+    kept = [F.col(row)] if row else []
+    narrow = docs.select(
+        F.col(source).alias("source"), F.col(doc_id).alias("doc_id"), word_count(text).alias("size"), *kept
+    )
     narrow = materialize(narrow, "mix-sizes")
     targets = source_targets(narrow, "source", weights, share, most)
     named = targets.withColumnRenamed("source", "of")
@@ -164,7 +170,7 @@ def mix(
     plain = joined.filter(~to_round).withColumn("copies", F.lit(0).cast("long"))
     done = rounded.unionByName(plain).withColumn("copies", F.col("copies") + F.col("base"))
     return done.select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *kept
     )
 
 
@@ -173,15 +179,13 @@ def copies_of(
 ) -> DataFrame:
     """The mix itself: every document repeated as often as it is taken, with the columns of ``docs``.
 
-    Documents without words are kept once. Rows that share an id take the copies of that id in turn.
+    Documents without words are kept once. Rows that share an id, or have none, are documents of their own.
     """
-    taken = mix(docs, doc_id, text, source, **options)
-    # Rows with one id may differ in copies: the sum of copies and of rows says how often each of them comes.
-    per_id = taken.groupBy(F.col("doc_id").alias("mix_id")).agg(
-        F.sum("copies").alias("mix_copies"), F.count("*").alias("mix_rows"), F.max("size").alias("mix_size")
+    numbered = materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), "mix-rows")
+    taken = mix(numbered, doc_id, text, source, row=_ROW, **options)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int")
+    # The number of a row is stored with it, so each row meets its own copies, whatever its id.
+    joined = numbered.join(taken.select(_ROW, times.alias("mix_times")), _ROW)
+    return joined.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_times")))).select(
+        *(numbered[c] for c in docs.columns)
     )
-    times = F.when(F.col("mix_size") == 0, 1).otherwise(F.round(F.col("mix_copies") / F.col("mix_rows"))).cast("int")
-    joined = docs.join(per_id, docs[doc_id].eqNullSafe(per_id["mix_id"]))
-    return joined.withColumn(
-        "mix_copy", F.explode(F.array_repeat(F.lit(1), times))
-    ).select(*(docs[c] for c in docs.columns))

@@ -78,12 +78,12 @@ def op10_warc_archive(spark, folder):
 
     path = fresh_path(spark, "archive")
     warc.write_archive(table(spark, folder, "pages"), path)
-    back = warc.read_archive(spark, path)
+    back = warc.read_archive(spark, path).withColumn("carried", warc.record_payload())
     field = lambda name: warc.header_field(F.col("warc_header"), name)
     return back.select(
         field("X-Page-ID").cast("long").alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha2(F.col("payload"), 256).alias("payload_digest"),
+        F.octet_length("carried").cast("long").alias("payload_bytes"),
+        F.sha2(F.col("carried"), 256).alias("payload_digest"),
         field("WARC-Type").alias("record_type"),
         field("X-Refers-To-Page").cast("long").alias("refers_to"),
     )

@@ -4,7 +4,8 @@ A rollup is a folder with one partition per committed batch. A batch holds the s
 changes by source, language and tokenizer version: an insert adds a document and its tokens, a delete
 takes them away, a revised count takes the old one away and adds the new one. Totals are the sums
 over all batches, so batches can be committed in any order. Committing a batch again replaces its
-partition as a whole: a repeated or broken-off commit cannot count twice.
+partition as a whole: a repeated or broken-off commit cannot count twice. Every batch also holds a row of
+zeros, so that a batch committed again without any change replaces its old sums too.
 
 Null sources, languages and versions are groups of their own, null token counts count as 0 tokens.
 An empty batch adds nothing; a rollup without batches has no totals.
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamiz.sources.zones import path_exists
+
 KEYS = ("source", "lang", "tokenizer")
 SCHEMA = "source string, lang string, tokenizer string, docs bigint, tokens bigint, batch_id string"
 
@@ -48,12 +51,16 @@ class TokenRollup:
             all_rows = all_rows.unionByName(more)
         # Each task sums what it reads, so a source with a third of all rows sends one row per task.
         sums = all_rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        zeros = self.spark.createDataFrame([(None, None, None, 0, 0)], SCHEMA.rpartition(",")[0])
+        sums = sums.unionByName(zeros)
         sums.withColumn("batch_id", F.lit(batch_id)).coalesce(1).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch_id").parquet(self.path)
 
     def batches(self) -> DataFrame:
         """The summed changes of every committed batch."""
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).option("basePath", self.path).parquet(self.path)
 
     def totals(self) -> DataFrame:

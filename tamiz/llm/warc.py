@@ -130,6 +130,20 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def record_payload() -> Column:
+    """The payload as a rebuilt ``record`` carries it, and for a revisit that of the record it refers to.
+
+    A record whose block is not as long as its header says raises an error.
+    """
+    heads = F.octet_length("warc_header") + F.octet_length("http_header")
+    block = F.substring(F.col("record"), heads + 1, F.octet_length("record") - heads - 4)
+    told = header_field(F.col("warc_header"), "Content-Length").cast("long")
+    sound = told == F.octet_length("http_header") + F.octet_length(block)
+    revisit = header_field(F.col("warc_header"), "WARC-Type") == "revisit"
+    wrong = F.raise_error("a record is not as long as its header says").cast("binary")
+    return F.when(~sound, wrong).when(revisit, F.col("payload")).otherwise(block)
+
+
 def header_field(header: Column, name: str) -> Column:
     """The value of a header line, null where there is none."""
     found = F.regexp_extract(F.decode(header, ENCODING), rf"(?:^|\r\n)\Q{name}\E: ([^\r\n]*)", 1)
