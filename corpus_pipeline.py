@@ -38,11 +38,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares most five-word shingles: the one with the smallest id."""
+    """One row of each group that shares most five-word shingles: the one with the smallest id, null last.
+
+    Rows are told apart by a number of their own, so rows that repeat an id, or have none, are a group's like
+    all others.
+    """
     ship_package(spark)
-    judged = chosen_path.near_duplicates(docs, width=5, similarity=0.8)
-    dropped = materialize(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("dropped")), "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped"], "left_anti")
+    row = "pipeline_row"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    judged = chosen_path.near_duplicates(numbered, doc_id=row, width=5, similarity=0.8)
+    groups = judged.select(F.col("doc_id").alias(row), "component_id").join(numbered.select(row, "doc_id"), row)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
+    kept = materialize(groups.groupBy("component_id").agg(first.alias("first")).select(f"first.{row}"), "pipeline-kept")
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
