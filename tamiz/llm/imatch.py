@@ -24,6 +24,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -79,13 +80,25 @@ def lexicon(docs: DataFrame, text: str = "text", least: float = LEAST_SHARE, mos
     return frozenset(found)
 
 
-def fingerprint(text: str, known: frozenset[str]) -> str:
-    """Hashes of the whole lexicon and of every random subset, in a fixed order; empty without terms."""
+def hashed(known: Iterable[str]) -> dict[str, int]:
+    """The digest of every term of a lexicon."""
+    return {t: xxhash.xxh3_64_intdigest(t) for t in known}
+
+
+def fingerprint(text: str, known: frozenset[str], digest_of: Mapping[str, int] | None = None) -> str:
+    """Hashes of the whole lexicon and of every random subset, in a fixed order; empty without terms.
+
+    ``digest_of`` may hold the digests of the lexicon's terms (see ``hashed``), which spares taking them again.
+    """
     own = terms(text)
-    kept = sorted(own & known) or sorted(own)
-    if not kept:
-        return ""
-    digests = np.array([xxhash.xxh3_64_intdigest(t) for t in kept], np.uint64)
+    kept = sorted(own & known)
+    if kept and digest_of is not None:
+        digests = np.fromiter(map(digest_of.__getitem__, kept), np.uint64, len(kept))
+    else:
+        kept = kept or sorted(own)
+        if not kept:
+            return ""
+        digests = np.array([xxhash.xxh3_64_intdigest(t) for t in kept], np.uint64)
     cells = [[_cell(digests.tobytes())]] + [[] for _ in range(FAMILIES)]
     # A quarter of the terms reach each next level of a family: those whose draw has two more leading zeros.
     draws = MULTIPLIERS[:, None] * digests
@@ -112,13 +125,12 @@ def likeness(left: str, right: str) -> float:
     """Share of equal hashes among the subsets that hold a term of either document."""
     if left == right:
         return 1.0
-    same = both = 0
-    for i in range(0, max(len(left), len(right)), DIGITS):
-        a, b = left[i:i + DIGITS] or GAP, right[i:i + DIGITS] or GAP
-        if a != GAP or b != GAP:
-            both += 1
-            same += a == b
-    return same / both if both else 1.0
+    if not left or not right:
+        return 0.0
+    a, b = (np.frombuffer(x.encode("ascii"), f"S{DIGITS}") for x in (left, right))
+    gap = GAP.encode("ascii")
+    held = (a != gap) | (b != gap)
+    return int(((a == b) & held).sum()) / int(held.sum())
 
 
 def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -175,6 +187,7 @@ def edited_fingerprints(
 
     def run(batches):
         lexis, waiting = shared.value, None
+        digest_of = hashed(lexis)
         for batch in narrow(batches, "text"):
             rows = []
             for part, follower, name, item in zip(
@@ -183,12 +196,12 @@ def edited_fingerprints(
             ):
                 if waiting is None and follower:
                     continue
-                mark = fingerprint(item, lexis)
+                mark = fingerprint(item, lexis, digest_of)
                 if waiting is not None and waiting[0] == part:
                     _, own_id, own, own_mark = waiting
                     half = len(own) // 2
                     edited = own[:len(own) - half] + item[:half]
-                    other = fingerprint(edited, lexis)
+                    other = fingerprint(edited, lexis, digest_of)
                     rows.append((
                         own_id, len(own), hashlib.sha256(edited.encode("utf-8")).hexdigest(), own_mark, other,
                         likeness(own_mark, other), likeness(own_mark, mark),
