@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm import bpe, chosen_path, mixing, random_index, unigram_language
-from tamiz.llm.base import held_out, ship_package
+from tamiz.llm.base import held_out, keyed_rows, ship_package
 from tamiz.session import materialize
 
 LEAST_LANGUAGE_SCORE = 0.5
@@ -40,17 +40,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group that shares most five-word shingles: the one with the smallest id, null last.
 
-    Rows are told apart by a number of their own, so rows that repeat an id, or have none, are a group's like
-    all others.
+    Rows that repeat an id, or have none, are told apart by a number, and are a group's like all others.
     """
     ship_package(spark)
-    row = "pipeline_row"
-    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
-    judged = chosen_path.near_duplicates(numbered, doc_id=row, width=5, similarity=0.8)
-    groups = judged.select(F.col("doc_id").alias(row), "component_id").join(numbered.select(row, "doc_id"), row)
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
-    kept = materialize(groups.groupBy("component_id").agg(first.alias("first")).select(f"first.{row}"), "pipeline-kept")
-    return numbered.join(kept, row, "left_semi").select(*docs.columns)
+    rows, key = keyed_rows(docs, "doc_id", "pipeline_row")
+    judged = chosen_path.near_duplicates(rows, doc_id=key, width=5, similarity=0.8)
+    if key == "doc_id":
+        dropped = materialize(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("dropped")), "dropped")
+        return rows.join(dropped, rows["doc_id"] == dropped["dropped"], "left_anti")
+    groups = judged.select(F.col("doc_id").alias(key), "component_id").join(rows.select(key, "doc_id"), key)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key))
+    kept = materialize(groups.groupBy("component_id").agg(first.alias("first")).select(f"first.{key}"), "pipeline-kept")
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

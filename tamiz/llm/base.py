@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamiz.session import materialize
+
 # A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
 NARROW_ROWS, NARROW_BYTES = 8000, 8 << 20
@@ -99,3 +101,11 @@ def own_columns(df: DataFrame, added: tuple[str, ...]) -> list[str]:
     """Columns of ``df`` that an operator keeps: those whose names it does not set itself."""
     names = {a.lower() for a in added}
     return [c for c in df.columns if c.lower() not in names]
+
+
+def keyed_rows(docs: DataFrame, doc_id: str, name: str) -> tuple[DataFrame, str]:
+    """The rows and a column that tells them apart: the id if every row has its own, else a stored number ``name``."""
+    shared = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).filter(F.col(doc_id).isNull() | (F.col("n") > 1))
+    if shared.isEmpty():
+        return docs, doc_id
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), name), name

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.llm.base import WORD
+from tamiz.llm.base import WORD, keyed_rows
 from tamiz.operators.keys import assign_surrogate_key
 from tamiz.session import materialize
 
@@ -181,11 +181,12 @@ def copies_of(
 
     Documents without words are kept once. Rows that share an id, or have none, are documents of their own.
     """
-    numbered = materialize(docs.withColumn(_ROW, F.monotonically_increasing_id()), "mix-rows")
-    taken = mix(numbered, doc_id, text, source, row=_ROW, **options)
+    # Each row meets its own copies, whatever its id.
+    keyed, key = keyed_rows(docs, doc_id, _ROW)
+    taken = mix(keyed, doc_id, text, source, row=None if key == doc_id else key, **options)
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("int")
-    # The number of a row is stored with it, so each row meets its own copies, whatever its id.
-    joined = numbered.join(taken.select(_ROW, times.alias("mix_times")), _ROW)
+    mine = taken.select(F.col("doc_id" if key == doc_id else key).alias("mix_key"), times.alias("mix_times"))
+    joined = keyed.join(mine, keyed[key] == mine["mix_key"])
     return joined.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_times")))).select(
-        *(numbered[c] for c in docs.columns)
+        *(keyed[c] for c in docs.columns)
     )
