@@ -19,8 +19,8 @@ equal texts always share a component; rows that repeat an id and text get equal
 compared once however often they come; an id with two texts links what either is linked with; a row
 without id takes its class's component. An empty table gives an empty result.
 
-Of dense nodes, those that only trees from the fifth on meet are neither compared nor branched: a pair at
-the similarity that no pivot links is missed there by the other trees with about 0.2^4.
+No node is left out: the few and the dense ones of all trees are compared, the others branch, and at the
+last level whatever is left is compared.
 """
 
 from __future__ import annotations
@@ -41,7 +41,6 @@ TREES = 12
 SMALL = 24  # sets outside a node's largest component up to which the node is compared exhaustively
 DEEPEST = 12
 BLOCK = 512  # sets of a dense node that one task compares with as many
-DENSE_TREES = 4
 BITS = 51  # of 256 sketch bits: sets at 0.8 differ in 26 on average, with a deviation of 5
 MULTIPLIERS = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, SKETCH, np.uint64) | np.uint64(1)
 POLYNOMIAL = np.uint64(0xD6E8FEB86659FD93)
@@ -258,19 +257,17 @@ def _dense_links(rows, nodes, texts_of, width, percent):
 def _candidates(reps, rows, labels, texts_of, width: int, similarity: float, percent: int):
     """Pairs between components that meet in a small node (``a < b`` with ``apart``), and links of dense nodes.
 
-    A node is dense if at least half of its sets are in one component. The first ``DENSE_TREES`` trees suffice
-    for dense nodes of the first level, as all their pairs are compared.
+    A node is dense if at least half of its sets are in one component. Those of all trees are compared.
     """
     found, links, rows = [], [], _with_components(rows, labels)
     for level in range(DEEPEST + 1):
-        per = rows.groupBy("node", "comp").agg(F.count("*").alias("n_comp"), F.min("early").alias("early"))
+        per = rows.groupBy("node", "comp").agg(F.count("*").alias("n_comp"))
         nodes = per.groupBy("node").agg(
             F.sum("n_comp").alias("members"), F.max("n_comp").alias("most"), F.max_by("comp", "n_comp").alias("main"),
-            F.min("early").alias("early"),
         ).filter("members > most")
         few = (F.col("members") - F.col("most") <= SMALL) | F.lit(level == DEEPEST)
-        dense = ~few & (F.col("most") * 2 >= F.col("members"))
-        kind = F.when(few, "few").when(dense & F.col("early"), "dense").when(~dense, "many")
+        dense = F.col("most") * 2 >= F.col("members")
+        kind = F.when(few, "few").when(dense, "dense").otherwise("many")
         nodes = materialize(nodes.withColumn("kind", kind), "nodes")
         kinds = {r[0] for r in nodes.select("kind").distinct().collect()}
         others = rows.join(nodes.filter("kind = 'few'").select("node", "main"), "node").filter("comp <> main").drop("main")
@@ -292,7 +289,7 @@ def _candidates(reps, rows, labels, texts_of, width: int, similarity: float, per
         grown = rows.join(nodes.filter("kind = 'many'").select("node"), "node").join(tokens, "rep")
         children = F.explode(_children(F.col("node"), F.col("sketch"), similarity))
         rows = materialize(
-            grown.withColumn("node", children).withColumn("early", F.lit(True)).drop("sketch"), "branches"
+            grown.withColumn("node", children).drop("sketch"), "branches"
         )
     out = found[0]
     for more in found[1:]:
@@ -331,13 +328,9 @@ def near_duplicates(
     # The first level of all trees; nodes with a single set need no more attention.
     roots = F.transform(
         F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.transform(
-            _children(F.xxhash64(t, F.lit("tree")), F.col("sketch"), similarity),
-            lambda node: F.struct(node.alias("node"), (t < DENSE_TREES).alias("early")),
-        ),
+        lambda t: _children(F.xxhash64(t, F.lit("tree")), F.col("sketch"), similarity),
     )
-    rows = reps.select("rep", "n", *WORDS, F.explode(F.flatten(roots)).alias("at"))
-    rows = rows.select("rep", "n", *WORDS, "at.node", "at.early")
+    rows = reps.select("rep", "n", *WORDS, F.explode(F.flatten(roots)).alias("node"))
     # A node's pivot is drawn anew for each node, so a dense group has many.
     drawn = F.min(F.struct(F.xxhash64("rep", "node").alias("draw"), "rep")).alias("drawn")
     shared = rows.groupBy("node").agg(F.count("*").alias("members"), drawn).filter("members > 1")
