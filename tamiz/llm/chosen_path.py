@@ -49,7 +49,7 @@ WORDS = ["sk0", "sk1", "sk2", "sk3"]
 
 class _Hashes(dict):
     def __missing__(self, word):
-        if len(self) > 200_000:
+        if len(self) > 65_536:  # a few megabytes in each Python worker
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -231,18 +231,27 @@ def _dense_links(rows, nodes, texts_of, width, percent):
         if left.num_rows and right.num_rows:
             marks, sizes = sketches_of(right), right.column("n").to_numpy()
             comps, reps = right.column("comp").to_numpy(), right.column("rep").to_numpy()
-            sets = [shingle_set(t, width) for t in texts(right.column("text").combine_chunks())]
-            joined = set()
+            others = texts(right.column("text").combine_chunks())
+            # Hashes of a block's shingles are small; the shingles themselves are made for two texts at a time.
+            hashes, joined = {}, set()
             for mark, n, comp, rep, item in zip(
                 sketches_of(left), left.column("n").to_numpy(), left.column("comp").to_numpy(),
                 left.column("rep").to_numpy(), texts(left.column("text").combine_chunks()),
             ):
                 near = np.bitwise_count(marks ^ mark).sum(axis=1) <= BITS
                 near &= (comps != comp) & (sizes * 100 >= n * percent) & (sizes * percent <= n * 100)
-                whole = shingle_set(item, width) if near.any() else None
+                own_hashes = shingle_hashes(item, width) if near.any() else None
                 for at in np.flatnonzero(near):
                     pair = (min(comp, comps[at]), max(comp, comps[at]))
-                    if pair not in joined and similar(whole, sets[at], percent):
+                    if pair in joined:
+                        continue
+                    if at not in hashes:
+                        hashes[at] = shingle_hashes(others[at], width)
+                    # Equal shingles have equal hashes, so no similar pair fails here but by colliding hashes.
+                    common = len(np.intersect1d(own_hashes, hashes[at], assume_unique=True))
+                    if 100 * common < percent * (len(own_hashes) + len(hashes[at]) - common):
+                        continue
+                    if similar(shingle_set(item, width), shingle_set(others[at], width), percent):
                         joined.add(pair)  # further links between both components would change nothing
                         a.append(min(rep, reps[at]))
                         b.append(max(rep, reps[at]))
