@@ -14,7 +14,7 @@ __all__ = [
     "KEEP", "clean_text", "collapse_spaces", "keep_alphanumeric", "map_values",
     "normalize_career", "normalize_institution", "normalize_name", "null_if_token",
     "remove_stopwords", "strip_accents", "strip_spaces", "truncate_text",
-    "valid_or_null", "zero_pad_code", "clean_category", "NA_TOKENS", "STOP_WORDS",
+    "short_key", "valid_or_null", "zero_pad_code", "clean_category", "NA_TOKENS", "STOP_WORDS",
 ]
 
 # Words removed from career names, in this order.
@@ -34,6 +34,11 @@ _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 KEEP = object()
 
 
+def short_key(col: Column) -> Column:
+    """A text to compare and shuffle by: itself below 64 characters, else its SHA-256, which has 64."""
+    return F.when(F.length(col) < 64, col).otherwise(F.sha2(col, 256))
+
+
 def null_if_token(col: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
     """Null where the cell holds one of the missing-value texts."""
     return F.when(~col.isin(*tokens), col)

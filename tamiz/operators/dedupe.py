@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tamiz.functions import short_key
 
 _RANK = "__rank"
 
@@ -88,6 +91,9 @@ def primary_key_report(df: DataFrame, *keys: str) -> DataFrame:
     any_null = F.lit(False)
     for key in keys:
         any_null = any_null | F.col(key).isNull()
+    # Only counts are asked for, so long texts are grouped by what stands for them.
+    texts = [key for key in keys if isinstance(df.schema[key].dataType, T.StringType)]
+    df = df.select(*(short_key(F.col(k)).alias(k) if k in texts else F.col(k) for k in keys))
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),

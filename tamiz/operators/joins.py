@@ -12,11 +12,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_KEY, _SALT = "__lookup_key", "__lookup_salt"
+from tamiz.functions import short_key
+
+_KEY, _SALT, _OWN = "__lookup_key", "__lookup_salt", "__lookup_own"
 _SALTS = 64  # parts that the rows without a key are dealt over
 
 
+def _comparable(df: DataFrame, key: str) -> Column:
+    """A key as joins compare it: texts by ``short_key``, so that long ones are not shuffled whole."""
+    return short_key(F.col(key)) if isinstance(df.schema[key].dataType, T.StringType) else F.col(key)
+
+
+def _both_texts(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> bool:
+    return all(isinstance(df.schema[k].dataType, T.StringType) for df, k in ((left, left_key), (right, right_key)))
+
+
 def lookup_key(
     fact: DataFrame,
     dim: DataFrame,
@@ -36,6 +48,7 @@ def lookup_key(
     key carry a salt, so that a shuffle does not send all of them to one task; the
     dimension's null member is there once per salt. The salt is a hash of all columns, or of those that
     ``salt`` names; with ``salt=None`` there is none, and tables bucketed by the keys meet without a shuffle.
+    Texts meet by ``short_key``; a long one that is not needed afterwards stays out of the shuffle.
     """
     target = as_name or sk_name
     if salt is None:
@@ -48,16 +61,19 @@ def lookup_key(
     if salt != "*":
         hashed = [salt] if isinstance(salt, str) else list(salt)
     salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in hashed)), F.lit(_SALTS).cast("long"))
-    fact = fact.withColumn(_SALT, F.when(none, salt).otherwise(zero))
-    side = dim.select(F.col(dim_key).alias(_KEY), F.col(sk_name).alias(target))
+    texts = _both_texts(fact, fact_key, dim, dim_key)
+    own = _comparable(fact, fact_key) if texts else F.col(fact_key)
+    fact = fact.withColumns({_SALT: F.when(none, salt).otherwise(zero), _OWN: own})
+    named = _comparable(dim, dim_key) if texts else F.col(dim_key)
+    side = dim.select(named.alias(_KEY), F.col(sk_name).alias(target))
     if null_safe:
         every = F.sequence(zero, F.lit(_SALTS - 1).cast("long"))
         side = side.withColumn(_SALT, F.explode(F.when(F.col(_KEY).isNull(), every).otherwise(F.array(zero))))
     else:
         side = side.withColumn(_SALT, zero)
-    own, other = fact[fact_key], side[_KEY]
+    own, other = fact[_OWN], side[_KEY]
     condition = own.eqNullSafe(other) if null_safe else own == other
-    out = fact.join(side, condition & (fact[_SALT] == side[_SALT]), how).drop(_KEY, _SALT)
+    out = fact.join(side, condition & (fact[_SALT] == side[_SALT]), how).drop(_KEY, _SALT, _OWN)
     return _defaulted(out, target, default_sk)
 
 
@@ -110,8 +126,12 @@ def attach_group_attribute(
     """First non-null attribute of each key's group, null where there is none."""
     from tamiz.operators.dedupe import first_non_null
 
-    side = first_non_null(source, source_key, attribute, order_by).withColumnRenamed(source_key, _KEY)
-    return dim.join(side, dim[dim_key] == side[_KEY], "left").drop(_KEY)
+    if not _both_texts(dim, dim_key, source, source_key):
+        side = first_non_null(source, source_key, attribute, order_by).withColumnRenamed(source_key, _KEY)
+        return dim.join(side, dim[dim_key] == side[_KEY], "left").drop(_KEY)
+    side = first_non_null(source.withColumn(_KEY, _comparable(source, source_key)), _KEY, attribute, order_by)
+    own = dim.withColumn(_OWN, _comparable(dim, dim_key))
+    return own.join(side, own[_OWN] == side[_KEY], "left").drop(_KEY, _OWN)
 
 
 def _distinct_keys(df: DataFrame, key: str, alias: str) -> DataFrame:

@@ -56,8 +56,7 @@ def build_fact_applicant(
 def build_fact_education(
     datasets: Datasets, dims: Tables, null_keys: str | int = "keep"
 ) -> DataFrame:
-    # Copies of a row differ in no key: one of each is enough for the lookups.
-    source = datasets["educacion"].select("ID_POSTULANTE", "CARRERA", "INSTITUCION").distinct()
+    source = datasets["educacion"].select("ID_POSTULANTE", "CARRERA", "INSTITUCION")
     fact = lookup_key(
         source, dims["dim_postulante"], "ID_POSTULANTE", "id_postulante_original",
         "postulante_sk", "inner",
@@ -66,8 +65,8 @@ def build_fact_education(
     fact = lookup_key(
         fact, dims["dim_institucion"], "INSTITUCION", "nombre_institucion", "institucion_sk"
     )
-    # Natural and surrogate keys match one to one, so the rows are distinct still.
-    return settle_null_keys(fact.select("postulante_sk", "carrera_sk", "institucion_sk"), null_keys)
+    # Natural and surrogate keys match one to one, and the numbers are shorter to compare.
+    return settle_null_keys(fact.select("postulante_sk", "carrera_sk", "institucion_sk").distinct(), null_keys)
 
 
 def build_fact_experience(datasets: Datasets, dims: Tables, grain: str = "applicant") -> DataFrame:
