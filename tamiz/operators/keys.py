@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tamiz.functions import short_key
 from tamiz.session import materialize
 
-_POSITION, _KNOWN = "__position", "__known"
+_POSITION, _KNOWN, _OWN = "__position", "__known", "__own"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
@@ -67,8 +69,11 @@ def extend_keys(
         raise ValueError(f"changed must be keep or update, not {changed!r}")
     attributes = [c for c in known.columns if c not in (sk_name, key)]
     later = incoming.select(key, *[c for c in attributes if c in incoming.columns])
-    mine = known.select(F.col(key).alias(_KNOWN))
-    new = later.join(mine, later[key].eqNullSafe(mine[_KNOWN]), "left_anti")
+    texts = all(isinstance(df.schema[key].dataType, T.StringType) for df in (known, incoming))
+    short = short_key if texts else lambda col: col
+    mine = known.select(short(F.col(key)).alias(_KNOWN))
+    named = later.withColumn(_OWN, short(F.col(key)))
+    new = named.join(mine, named[_OWN].eqNullSafe(mine[_KNOWN]), "left_anti").drop(_OWN)
     last = known.agg(F.greatest(F.coalesce(F.max(sk_name), F.lit(0)), F.lit(0)).alias("last")).first()["last"]
     added = assign_surrogate_key(new, sk_name, [key], start=int(last) + 1)
     added = known.limit(0).unionByName(added, allowMissingColumns=True)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.functions import short_key
 from tamiz.schemas import Table
 from tamiz.session import materialize
 
@@ -95,7 +96,8 @@ def quarantine(
     loaded before. ``parents`` holds the dimensions that references point to: a key that its dimension lacks
     is broken, a null one is a matter of ``not_null``. A row that breaks several rules names them all.
 
-    Uniqueness is a minimum per value, joined back on row numbers; references meet their dimension by
+    Uniqueness is a count per value, and where one repeats the first row of it, joined back on row numbers; the
+    rows are joined and stored once more only where one breaks such a rule. References meet their dimension by
     distinct keys. So a value that a third of the rows share is neither gathered nor multiplied.
     """
     judged = judge(df, table, rules, valid)
@@ -107,16 +109,23 @@ def quarantine(
         order = [F.col(f"{_GIVEN}.{c}") for c in (order_by or df.columns)]
         sound = stored.filter(F.size(_BROKEN) == 0)
         for c in unique:
-            value = F.col(f"{_CELLS}.{c}")
-            rows = sound.filter(value.isNotNull()).select(
-                value.alias("__value"), F.struct(*order, _ROW).alias(_PLACE), _ROW
-            )
-            firsts = rows.groupBy("__value").agg(F.min(_PLACE).alias(_PLACE))
+            cell, text = F.col(f"{_CELLS}.{c}"), isinstance(table_type(table, c), T.StringType)
+            held = sound.filter(cell.isNotNull()).withColumn("__value", short_key(cell) if text else cell)
+            # Whole rows are compared only where a value repeats.
+            counted = held.groupBy("__value").agg(F.count(F.lit(1)).alias("n"))
+            repeated = materialize(counted.filter("n > 1").select("__value"), f"repeated-{c}")
+            broken = []
+            if not repeated.isEmpty():
+                rows = held.select("__value", F.struct(*order, _ROW).alias(_PLACE), _ROW).join(repeated, "__value", "left_semi")
+                firsts = rows.groupBy("__value").agg(F.min(_PLACE).alias(_PLACE))
+                kept = firsts.select(F.col(f"{_PLACE}.{_ROW}").alias(_ROW))
+                broken.append(rows.select(_ROW).join(kept, _ROW, "left_anti"))
             if known is not None:
-                taken = known.select(F.col(c).cast(table_type(table, c)).alias("__value")).distinct()
-                firsts = firsts.join(taken, "__value", "left_anti")
-            kept = firsts.select(F.col(f"{_PLACE}.{_ROW}").alias(_ROW))
-            faults.append(rows.select(_ROW).join(kept, _ROW, "left_anti").withColumn("rule", F.lit(f"unique:{c}")))
+                earlier = F.col(c).cast(table_type(table, c))
+                taken = known.select((short_key(earlier) if text else earlier).alias("__value")).distinct()
+                broken.append(held.select("__value", _ROW).join(taken, "__value", "left_semi").select(_ROW))
+            if broken:
+                faults.append(reduce(DataFrame.unionByName, broken).distinct().withColumn("rule", F.lit(f"unique:{c}")))
     if "references" in rules:
         for c, (parent, key) in table.references.items():
             if parents is None or parent not in parents:
@@ -129,6 +138,10 @@ def quarantine(
     if faults:
         every = reduce(DataFrame.unionByName, faults)
         more = every.groupBy(_ROW).agg(F.sort_array(F.collect_list("rule")).alias("__more"))
+        more = materialize(more, f"faults-{table.name}")
+        if more.isEmpty():
+            faults = []
+    if faults:
         both = F.concat(_BROKEN, F.coalesce("__more", F.array().cast("array<string>")))
         joined = stored.join(more, _ROW, "left").select(_GIVEN, _CELLS, both.alias(_BROKEN))
         stored = materialize(joined, f"quarantine-{table.name}")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tamiz.operators.quarantine import ALL_RULES, Quarantine, quarantine
 from tamiz.schemas import WAREHOUSE, Table
-from tamiz.session import build_together, materialize
+from tamiz.session import build_together
 
 MODES = ("append", "replace")
 
@@ -212,8 +212,7 @@ class VersionedWarehouse:
 
         parents = {parent: whole(parent) for parent, _ in table.references.values() if parent in self.schemas}
         known = self.table(name, base) if modes[name] == "append" and base.tables.get(name) else None
-        stored = materialize(df, f"load-{name}")
-        return quarantine(stored, table, rules, order_by, known, parents)
+        return quarantine(df, table, rules, order_by, known, parents)
 
     def compact(self, load_id: str, names: Sequence[str] | None = None) -> Version:
         """Rewrite tables that many loads have added to as one folder each, as a version of its own."""
