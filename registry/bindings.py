@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from registry.base import table
-from tamiz.plans.cleaning import clean_dataset
-from tamiz.session import build_together, materialize
+from tamiz.plans.cleaning import ROW_ORDER, clean_dataset
+from tamiz.session import COMPACT, build_together, materialize
 
 
 def _day_first(expr: str) -> str:
@@ -122,9 +122,24 @@ RAW: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+# The joins of a dataset as Spark takes them; the rows are those of ``RAW``. Orders are met by the text that becomes the
+# row's id: where they are too many to broadcast, their shuffle also serves the comparison of rows by that id.
+_JOINS = {
+    "educacion": """FROM {documents} d LEFT JOIN {orders} o
+        ON 'P' || CAST(o.o_orderkey AS STRING) = 'P' || CAST(d.doc_id AS STRING)""",
+    "vacantes": """FROM {lineitem} l JOIN {part} p ON p.p_partkey = l.l_partkey
+        JOIN {orders} o ON CAST(o.o_orderkey AS STRING) = CAST(l.l_orderkey AS STRING)
+        JOIN {supplier} s ON s.s_suppkey = l.l_suppkey
+        JOIN {nation} n ON n.n_nationkey = s.s_nationkey
+        JOIN {region} r ON r.r_regionkey = n.n_regionkey""",
+}
+
+
 def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One raw dataset as a lazy frame."""
     tables, text = RAW[name]
+    if name in _JOINS:
+        text = text[:text.index("FROM {")] + _JOINS[name]
     return spark.sql(text, **{t: table(spark, folder, t) for t in tables})
 
 
@@ -135,7 +150,17 @@ def cleaned(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def stored(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
     """Cleaned datasets, each written once and read by several builders."""
     return build_together(spark, {
-        n: lambda n=n: materialize(cleaned(spark, folder, n), f"cleaned-{n}") for n in names
+        n: lambda n=n: materialize(cleaned(spark, folder, n), f"cleaned-{n}", **COMPACT) for n in names
+    })
+
+
+def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The cleaned datasets that the warehouse is built from. No builder asks which record of experience came first."""
+    names = [n for n in RAW if n != "discapacidad"]
+    return build_together(spark, {
+        n: lambda n=n: materialize(
+            cleaned(spark, folder, n).drop(*([ROW_ORDER] if n == "experiencias" else [])), f"cleaned-{n}", **COMPACT
+        ) for n in names
     })
 
 

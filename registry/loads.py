@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import query, table
-from registry.bindings import stored, with_cleaned
+from registry.bindings import sources, with_cleaned
 from registry.warehouse import DATASETS, DAYS, DIMS_SQL, FACTS_SQL, MONTHS, RUN_DATE, _reconciled
 from tamiz.operators.keys import extend_keys
 from tamiz.operators.quality import check_foreign_key_nulls, check_referential_integrity
@@ -95,11 +95,13 @@ def contents(tables):
         cells = [F.coalesce(F.col(x.name).cast("string"), F.lit("~")) for x in t.columns]
         part = tables[name].select(F.lit(name).alias("table"), F.md5(F.concat_ws("|", *cells)).alias("digest"))
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("table", "digest").agg(F.count(F.lit(1)).alias("n"))
+    # Digests are shuffled as bytes, half as long as in hexadecimal.
+    counted = out.groupBy("table", F.unhex("digest").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("table", F.lower(F.hex("digest")).alias("digest"), "n")
 
 
 def unknown_member(spark, sf):
-    return c.build_constellation(stored(spark, sf, *SOURCES), RUN_DATE, unknown_member=c.UNKNOWN_MEMBER)
+    return c.build_constellation(sources(spark, sf), RUN_DATE, unknown_member=c.UNKNOWN_MEMBER)
 
 
 def _violations_sql() -> str:
@@ -130,7 +132,7 @@ def _(spark, sf):
 def _(spark, sf):
     """All 13 tables loaded with all rules on, and the same load once more; contents row by row."""
     warehouse = VersionedWarehouse(spark, fresh_path(spark, "versions"))
-    data = stored(spark, sf, *SOURCES)
+    data = sources(spark, sf)
     for _ in range(2):
         c.load_constellation(warehouse, "load-1", data, RUN_DATE)
     return contents(warehouse.tables())
@@ -140,7 +142,7 @@ def _(spark, sf):
 def _(spark, sf):
     """A part of the data, then all of it: known members keep their keys, facts are there once."""
     warehouse = VersionedWarehouse(spark, fresh_path(spark, "versions"))
-    data = stored(spark, sf, *SOURCES)
+    data = sources(spark, sf)
     first = {n: df.filter(FIRST_PART[n]) for n, df in data.items()}
     c.load_constellation(warehouse, "first", first, RUN_DATE)
     c.load_constellation(warehouse, "second", data, RUN_DATE)

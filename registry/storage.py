@@ -123,19 +123,12 @@ def _(spark, sf):
     return contents(load_zone(spark, folder, LOAD_ORDER))
 
 
-_LOADED: dict[tuple[str, str], str] = {}
-
-
 def _loaded(spark, sf) -> str:
-    """A database with the 13 tables, and one more; loaded once in a session, as queries only read it."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _LOADED:
-        return _LOADED[key]
+    """A new database with the 13 tables, and one more; each query loads its own, whatever ran before it."""
     name = f"dw_{uuid.uuid4().hex[:12]}"
     w.create_tables(spark, name, fresh_path(spark, name))
     w.load_warehouse(spark, name, unknown_member(spark, sf).tables)
     table(spark, sf, "orders").write.saveAsTable(f"{name}.notas")
-    _LOADED[key] = name
     return name
 
 

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from registry.base import query, table
-from registry.bindings import cleaned, raw, stored, with_cleaned
+from registry.bindings import cleaned, raw, sources, stored, with_cleaned
 from tamiz.operators.joins import lookup_key
 from tamiz.operators.keys import assign_surrogate_key
 from tamiz.operators.profile import warehouse_summary
@@ -272,8 +272,7 @@ def _(spark, sf):
 # ---- the whole warehouse --------------------------------------------------
 
 def full(spark, sf, reconcile: str = "before_dims"):
-    names = [n for n in DATASETS if n != "discapacidad"]
-    return c.build_constellation(stored(spark, sf, *names), RUN_DATE, reconcile)
+    return c.build_constellation(sources(spark, sf), RUN_DATE, reconcile)
 
 
 def _summary_sql(mode: str) -> str:

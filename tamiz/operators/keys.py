@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions import short_key
-from tamiz.session import materialize
+from tamiz.session import COMPACT, materialize
 
 _POSITION, _KNOWN, _OWN = "__position", "__known", "__own"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
@@ -28,7 +28,7 @@ def assign_surrogate_key(
     """
     ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     placed = materialize(
-        ordered.withColumn(_POSITION, F.monotonically_increasing_id()), f"keys-{sk_name}"
+        ordered.withColumn(_POSITION, F.monotonically_increasing_id()), f"keys-{sk_name}", **COMPACT
     )
     block = F.shiftright(_POSITION, _ROW_BITS).cast("int")
     sizes = {

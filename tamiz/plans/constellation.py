@@ -21,7 +21,7 @@ from tamiz.operators.sets import append_placeholders
 from tamiz.plans import dimensions as d
 from tamiz.plans import facts as f
 from tamiz.schemas import DATE, TEXT, WAREHOUSE, conform, references
-from tamiz.session import build_together, materialize
+from tamiz.session import COMPACT, build_together, materialize
 from tamiz.sources.versions import Version, VersionedWarehouse, each_owner_once
 
 UNKNOWN_MEMBER = -1
@@ -45,7 +45,7 @@ class Constellation:
         """The same with the facts written once, for the checks that read them often."""
         spark = self.orphans.sparkSession
         facts = build_together(spark, {
-            name: lambda name=name, df=df: materialize(df, name) for name, df in self.facts.items()
+            name: lambda name=name, df=df: materialize(df, name, **COMPACT) for name, df in self.facts.items()
         })
         return Constellation(self.dimensions, facts, self.orphans, self.added)
 
@@ -96,7 +96,7 @@ def reconciled_datasets(datasets: d.Datasets, run_date: datetime.date) -> dict[s
         orphan_placeholders(
             datasets["competencias"], vacancies, "AVISOID", vacancy_placeholder(run_date)
         ),
-        "placeholders",
+        "placeholders", **COMPACT,
     )
     return {**datasets, "vacantes": append_placeholders(vacancies, placeholders)}
 

@@ -13,9 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions import calendar_attributes, clean_text, map_values, to_number
-from tamiz.operators.columns import select_available
 from tamiz.operators.dedupe import dedupe_keep_first, distinct_values
-from tamiz.operators.joins import attach_group_attribute
 from tamiz.operators.keys import assign_surrogate_key
 from tamiz.operators.quality import apply_defaults
 from tamiz.operators.sets import union_all_dates, union_sources
@@ -154,11 +152,13 @@ def build_dim_skill(datasets: Datasets, keep_null_member: bool = True) -> DataFr
 def build_dim_career(datasets: Datasets) -> DataFrame:
     """Careers with the first degree stated for each."""
     source = datasets["educacion"]
-    keyed = build_dimension(source, "CARRERA", (), "carrera_sk")
-    keyed = select_available(keyed, ["carrera_sk", "CARRERA"])
     if "GRADO" in source.columns:
-        first = F.struct(*source_order(source))
-        keyed = attach_group_attribute(keyed, source, "CARRERA", "CARRERA", "GRADO", first)
+        # Members and their degree from one aggregation: the names, which may be long, are not joined with themselves.
+        first = F.when(F.col("GRADO").isNotNull(), F.struct(*source_order(source)))
+        members = source.filter(F.col("CARRERA").isNotNull()).groupBy("CARRERA").agg(F.min_by("GRADO", first).alias("GRADO"))
+        keyed = assign_surrogate_key(members, "carrera_sk", ["CARRERA"])
+    else:
+        keyed = build_dimension(source, "CARRERA", (), "carrera_sk")
     renamed = keyed.withColumnsRenamed({"CARRERA": "nombre_carrera", "GRADO": "nivel_educativo"})
     return conform(renamed, WAREHOUSE["dim_carrera"])
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tamiz.operators.quarantine import ALL_RULES, Quarantine, quarantine
 from tamiz.schemas import WAREHOUSE, Table
-from tamiz.session import build_together
+from tamiz.session import COMPACT, build_together
 
 MODES = ("append", "replace")
 
@@ -177,7 +177,7 @@ class VersionedWarehouse:
                     return [f"{name}.{r['column']}: {r['rows']} rows break {r['rule']}" for r in report]
             elif not split.rejects.isEmpty():
                 place = f"{name}/{attempt}-rejects"
-                split.rejects.write.parquet(f"{self.path}/data/{place}")
+                split.rejects.write.options(**COMPACT).parquet(f"{self.path}/data/{place}")
                 rejects[name] = (*rejects.get(name, ()), place)
             place = f"{name}/{attempt}"
             self._write(split.good, f"{self.path}/data/{place}")
@@ -199,7 +199,7 @@ class VersionedWarehouse:
 
     @staticmethod
     def _write(df: DataFrame, path: str) -> None:
-        df.write.parquet(path)
+        df.write.options(**COMPACT).parquet(path)
 
     def _judged(self, name, df, base, modes, good, rules, order_by) -> Quarantine:
         table = self.schemas[name]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tamiz.operators.quality import check_max_length, check_not_null, check_unique
 from tamiz.schemas import LOAD_ORDER, WAREHOUSE, Table, conform, conform_rejects
-from tamiz.session import materialize
+from tamiz.session import COMPACT, materialize
 
 # What a load can be held to: values fit their types, no nulls, no repeats, no over-long texts.
 RULES = ("casts", "not_null", "unique", "max_length")
@@ -25,12 +25,13 @@ def create_tables(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for table in reversed(tables):
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table.name}")
+    options = ", ".join(f"'{k}' '{v}'" for k, v in COMPACT.items())
     for table in tables:
         columns = ", ".join(
             f"{c.name} {c.type.simpleString()}{' NOT NULL' if c.not_null else ''}"
             for c in table.columns
         )
-        spark.sql(f"CREATE TABLE {database}.{table.name} ({columns}) USING parquet")
+        spark.sql(f"CREATE TABLE {database}.{table.name} ({columns}) USING parquet OPTIONS ({options})")
 
 
 def load_violations(tables: Mapping[str, DataFrame], rules: Sequence[str] = RULES) -> DataFrame:
@@ -73,7 +74,7 @@ def load_warehouse(
     missing = [name for name in order if name not in tables]
     if missing:
         raise ValueError(f"tables missing from the load: {', '.join(missing)}")
-    stored = {name: materialize(tables[name], f"load-{name}") for name in order}
+    stored = {name: materialize(tables[name], f"load-{name}", **COMPACT) for name in order}
     known = {name: df for name, df in stored.items() if name in WAREHOUSE}
     if known and rules:
         bad = load_violations(known, rules).collect()  # a row per column and rule at most
@@ -82,7 +83,7 @@ def load_warehouse(
             raise ValueError("nothing was loaded; " + "; ".join(sorted(lines)))
     for name in order:
         df = conform(stored[name], WAREHOUSE[name]) if name in WAREHOUSE else stored[name]
-        df.write.mode("append").format("parquet").saveAsTable(f"{database}.{name}")
+        df.write.mode("append").format("parquet").options(**COMPACT).saveAsTable(f"{database}.{name}")
     return list(order)
 
 

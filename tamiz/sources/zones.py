@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tamiz.session import COMPACT
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on the file system it names."""
@@ -49,7 +51,7 @@ def write_cleaned(
     if csv:
         out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     else:
-        out.write.mode("overwrite").parquet(path)
+        out.write.mode("overwrite").options(**COMPACT).parquet(path)
     return path
 
 
