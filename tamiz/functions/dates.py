@@ -96,7 +96,14 @@ def parse_dates(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     def close() -> None:
         if shapes:
             iso_text = F.lit(None).cast("string")
-            for regex, iso in reversed(list(shapes.items())):
+            # Shapes in a row that are ISO as they stand are one comparison; others need their own groups.
+            tried: list[tuple[str, str]] = []
+            for regex, iso in shapes.items():
+                if tried and not iso and not tried[-1][1]:
+                    tried[-1] = (f"{tried[-1][0]}|{regex}", "")
+                else:
+                    tried.append((regex, iso))
+            for regex, iso in reversed(tried):
                 rewritten = F.regexp_replace(text, regex, iso) if iso else text
                 iso_text = F.when(text.rlike(regex), rewritten).otherwise(iso_text)
             tries.append(iso_text.try_cast("timestamp_ntz"))
