@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.base import map_batches, texts
+from tamiz.llm.base import map_batches, release, texts
 from tamiz.llm.components import components
 from tamiz.session import materialize
 
@@ -255,6 +255,8 @@ def _dense_links(rows, nodes, texts_of, width, percent):
                         joined.add(pair)  # further links between both components would change nothing
                         a.append(min(rep, reps[at]))
                         b.append(max(rep, reps[at]))
+            others = hashes = joined = None
+            release()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     by = ("node", "m", "o")
