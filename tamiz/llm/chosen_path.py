@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.base import map_batches, release, texts
+from tamiz.llm.base import in_few_tasks, map_batches, release, texts
 from tamiz.llm.components import components
 from tamiz.session import materialize
 
@@ -161,11 +161,18 @@ def _like_sizes(left: str, right: str, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
-    """Those of the pairs (two columns of distinct ids) whose full shingle sets are as similar as asked, as ``a, b``."""
+def confirm(
+    pairs: DataFrame, most: int, docs: DataFrame, doc_id: str, text: str, width: int, percent: int
+) -> DataFrame:
+    """Those of the pairs (two columns of distinct ids) whose full shingle sets are as similar as asked, as ``a, b``.
+
+    ``most`` is what the pairs number at most.
+    """
     x, y = pairs.columns
-    pairs = materialize(pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "pairs")
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
+    pairs = pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+    pairs = materialize(in_few_tasks(pairs, most), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = materialize(in_few_tasks(ids, 2 * pairs.count()), "pair-ids")
     own = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     held = materialize(own.join(ids, "id", "left_semi"), "pair-texts")
     left = held.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -184,9 +191,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, width: in
     return materialize(map_batches(joined, "text_b", run, "a long, b long"), "links")
 
 
-def _more_links(links, labels, pairs, docs, *options):
+def _more_links(links, labels, pairs, most, docs, *options):
     """Confirm further pairs; new links and components only where there are any."""
-    more = confirm(pairs, docs, *options)
+    more = confirm(pairs, most, docs, *options)
     if more.isEmpty():
         return links, labels
     links = links.unionByName(more)
@@ -201,18 +208,50 @@ def _with_components(rows: DataFrame, labels: DataFrame | None, rep: str = "rep"
     return joined.withColumn(name, F.coalesce("label", rep)).drop("labelled", "label")
 
 
+def _dense_groups(rows: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``whole, node`` with its sets, and how many they are and how many lie outside ``main``.
+
+    The sets of a dense group meet in nodes of every tree. Nodes with the same main component become one (``whole``,
+    named by that component) where comparing the sets of all of them once takes fewer comparisons than node by node.
+    """
+    dense = materialize(rows.join(nodes.select("node", "main"), "node"), "dense-rows")
+    singly = nodes.groupBy("main").agg(F.sum(F.col("members") * (F.col("members") - F.col("most"))).alias("singly"))
+    outside = F.col("comp") != F.col("main")
+    once = dense.groupBy("main").agg(
+        F.count_distinct("rep").alias("members"), F.count_distinct(F.when(outside, F.col("rep"))).alias("others")
+    )
+    once = once.join(singly, "main").filter("members * others <= singly").select("main", "members", "others")
+    once = materialize(in_few_tasks(once, nodes.count()), "dense-wholes")
+    sizes = nodes.join(once, "main", "left_anti").select(
+        F.lit(False).alias("whole"), "node", "members", (F.col("members") - F.col("most")).alias("others")
+    ).unionByName(once.select(F.lit(True).alias("whole"), F.col("main").alias("node"), "members", "others"))
+    sets = dense.join(once, "main", "left_anti").withColumn("whole", F.lit(False)).unionByName(
+        dense.join(once, "main", "left_semi").withColumn("whole", F.lit(True)).withColumn("node", F.col("main"))
+        .distinct()
+    )
+    return sets, sizes
+
+
+def _common(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many of the ascending hashes ``own`` each of the others holds; none of all these is empty."""
+    held = np.concatenate(others)
+    found = own[np.minimum(np.searchsorted(own, held), len(own) - 1)] == held
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    return np.add.reduceat(found.astype(np.int64), np.cumsum(sizes) - sizes)
+
+
 def _dense_links(rows, nodes, texts_of, width, percent):
     """Links of sets outside a dense node's largest component with any set of the node, confirmed on the spot.
 
     Both sides come in blocks, so a node of any size is spread over tasks; only links leave them.
     """
     parts = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    spread = nodes.select(
-        "node", "main", parts(F.col("members")).alias("m_parts"), parts(F.col("members") - F.col("most")).alias("o_parts")
-    )
-    dense = materialize(rows.join(spread, "node"), "dense-rows")
+    dense, sizes = _dense_groups(rows, nodes)
+    spread = sizes.select("whole", "node", parts(F.col("members")).alias("m_parts"), parts(F.col("others")).alias("o_parts"))
     held = materialize(texts_of.join(dense.select("rep").distinct(), "rep", "left_semi"), "dense-texts")
-    own = dense.join(held, "rep").select("node", "main", "m_parts", "o_parts", "rep", "comp", "n", *WORDS, "text")
+    own = dense.join(spread, ["whole", "node"]).join(held, "rep").select(
+        "whole", "node", "main", "m_parts", "o_parts", "rep", "comp", "n", *WORDS, "text"
+    )
     draw = F.xxhash64("rep", "node")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = own.withColumn("m", F.pmod(draw, F.col("m_parts")).cast("int")).withColumn("o", every("o_parts"))
@@ -240,18 +279,21 @@ def _dense_links(rows, nodes, texts_of, width, percent):
             ):
                 near = np.bitwise_count(marks ^ mark).sum(axis=1) <= BITS
                 near &= (comps != comp) & (sizes * 100 >= n * percent) & (sizes * percent <= n * 100)
-                own_hashes = shingle_hashes(item, width) if near.any() else None
-                for at in np.flatnonzero(near):
-                    pair = (min(comp, comps[at]), max(comp, comps[at]))
-                    if pair in joined:
-                        continue
+                own_hashes = shingle_hashes(item, width) if near.any() else ()
+                near = np.flatnonzero(near)
+                for at in near:
                     if at not in hashes:
                         hashes[at] = shingle_hashes(others[at], width)
-                    # Equal shingles have equal hashes, so no similar pair fails here but by colliding hashes.
-                    common = len(np.intersect1d(own_hashes, hashes[at], assume_unique=True))
-                    if 100 * common < percent * (len(own_hashes) + len(hashes[at]) - common):
-                        continue
-                    if similar(shingle_set(item, width), shingle_set(others[at], width), percent):
+                # An id may have another text that is blank.
+                near = np.array([at for at in near if len(own_hashes) and len(hashes[at])], np.int64)
+                if not len(near):
+                    continue
+                # Equal shingles have equal hashes, so no similar pair fails here but by colliding hashes.
+                common = _common(own_hashes, [hashes[at] for at in near])
+                both = len(own_hashes) + np.array([len(hashes[at]) for at in near]) - common
+                for at in near[100 * common >= percent * both]:
+                    pair = (min(comp, comps[at]), max(comp, comps[at]))
+                    if pair not in joined and similar(shingle_set(item, width), shingle_set(others[at], width), percent):
                         joined.add(pair)  # further links between both components would change nothing
                         a.append(min(rep, reps[at]))
                         b.append(max(rep, reps[at]))
@@ -259,7 +301,7 @@ def _dense_links(rows, nodes, texts_of, width, percent):
             release()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    by = ("node", "m", "o")
+    by = ("whole", "node", "m", "o")
     return materialize(
         others.groupBy(*by).cogroup(members.groupBy(*by)).applyInArrow(run, "a long, b long"), "dense-links"
     )
@@ -270,42 +312,45 @@ def _candidates(reps, rows, labels, texts_of, width: int, similarity: float, per
 
     A node is dense if at least half of its sets are in one component. Those of all trees are compared.
     """
-    found, links, rows = [], [], _with_components(rows, labels)
+    rows = _with_components(rows, labels)
+    all_rows, all_nodes, kinds = None, None, set()
     for level in range(DEEPEST + 1):
+        n_rows = rows.count()
         per = rows.groupBy("node", "comp").agg(F.count("*").alias("n_comp"))
-        nodes = per.groupBy("node").agg(
+        nodes = in_few_tasks(per, n_rows).groupBy("node").agg(
             F.sum("n_comp").alias("members"), F.max("n_comp").alias("most"), F.max_by("comp", "n_comp").alias("main"),
         ).filter("members > most")
         few = (F.col("members") - F.col("most") <= SMALL) | F.lit(level == DEEPEST)
         dense = F.col("most") * 2 >= F.col("members")
         kind = F.when(few, "few").when(dense, "dense").otherwise("many")
-        nodes = materialize(nodes.withColumn("kind", kind), "nodes")
-        kinds = {r[0] for r in nodes.select("kind").distinct().collect()}
-        others = rows.join(nodes.filter("kind = 'few'").select("node", "main"), "node").filter("comp <> main").drop("main")
-        o, r = others.alias("o"), rows.alias("r")
-        pairs = o.join(
-            r,
-            (F.col("o.node") == F.col("r.node")) & (F.col("o.comp") != F.col("r.comp"))
-            & _like_sizes("o", "r", percent) & (_apart("o", "r") <= BITS),
-        ).select(
-            F.least("o.rep", "r.rep").alias("a"), F.greatest("o.rep", "r.rep").alias("b"),
-            _apart("o", "r").alias("apart"),
-        )
-        found.append(materialize(pairs, "candidates"))
-        if "dense" in kinds:
-            links.append(_dense_links(rows, nodes.filter("kind = 'dense'"), texts_of, width, percent))
-        if "many" not in kinds:
+        nodes = materialize(in_few_tasks(nodes.withColumn("kind", kind), n_rows), "nodes")
+        own = {r[0] for r in nodes.select("kind").distinct().collect()}
+        kinds |= own
+        all_rows = rows if all_rows is None else all_rows.unionByName(rows)
+        all_nodes = nodes if all_nodes is None else all_nodes.unionByName(nodes)
+        if "many" not in own:
             break
         tokens = reps.select("rep", "sketch")
         grown = rows.join(nodes.filter("kind = 'many'").select("node"), "node").join(tokens, "rep")
         children = F.explode(_children(F.col("node"), F.col("sketch"), similarity))
-        rows = materialize(
-            grown.withColumn("node", children).drop("sketch"), "branches"
-        )
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("a", "b").agg(F.min("apart").alias("apart")), links
+        rows = materialize(in_few_tasks(grown.withColumn("node", children).drop("sketch"), 2 * n_rows), "branches")
+
+    # Nodes have names of their own in all trees and levels, so those to be compared meet at once.
+    others = all_rows.join(all_nodes.filter("kind = 'few'").select("node", "main"), "node").filter("comp <> main").drop("main")
+    o, r = others.alias("o"), all_rows.alias("r")
+    pairs = o.join(
+        r,
+        (F.col("o.node") == F.col("r.node")) & (F.col("o.comp") != F.col("r.comp"))
+        & _like_sizes("o", "r", percent) & (_apart("o", "r") <= BITS),
+    ).select(
+        F.least("o.rep", "r.rep").alias("a"), F.greatest("o.rep", "r.rep").alias("b"),
+        _apart("o", "r").alias("apart"),
+    )
+    found = pairs.groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    links = []
+    if "dense" in kinds:
+        links.append(_dense_links(all_rows, all_nodes.filter("kind = 'dense'"), texts_of, width, percent))
+    return found, links
 
 
 def near_duplicates(
@@ -347,29 +392,28 @@ def near_duplicates(
     shared = rows.groupBy("node").agg(F.count("*").alias("members"), drawn).filter("members > 1")
     rows = materialize(rows.join(shared.select("node", F.col("drawn.rep").alias("pivot")), "node"), "level-1")
 
-    # Links to pivots: each set's likeliest, the likeliest between components, then all of sets still alone.
+    # Links to pivots: each set's likeliest, then the likeliest between components and all of sets still alone.
     other = reps.select("rep", "n", *WORDS).alias("p")
     to_pivots = rows.filter("rep <> pivot").select("rep", "n", *WORDS, "pivot").distinct().alias("r")
     to_pivots = materialize(to_pivots.join(
         other, (F.col("r.pivot") == F.col("p.rep")) & _like_sizes("r", "p", percent) & (_apart("r", "p") <= BITS)
     ).select("r.rep", "r.pivot", _apart("r", "p").alias("apart")), "pivots")
+    most = to_pivots.count()
     best = to_pivots.groupBy("rep").agg(F.min(F.struct("apart", "pivot")).alias("best"))
-    links = confirm(best.select("rep", "best.pivot"), docs, doc_id, text, width, percent)
+    links = confirm(best.select("rep", "best.pivot"), most, docs, doc_id, text, width, percent)
     labels = components(links)
-    for alone in (False, True):
-        crossing = _with_components(_with_components(to_pivots, labels), labels, "pivot", "other").filter("comp <> other")
-        if alone:
-            tried = crossing.filter("comp = rep").select("rep", "pivot")
-        else:
-            tried = crossing.groupBy(
-                F.least("comp", "other").alias("c1"), F.greatest("comp", "other").alias("c2")
-            ).agg(F.min(F.struct("apart", "rep", "pivot")).alias("best")).select("best.rep", "best.pivot")
-        links, labels = _more_links(links, labels, tried, docs, doc_id, text, width, percent)
+    crossing = _with_components(_with_components(to_pivots, labels), labels, "pivot", "other").filter("comp <> other")
+    likeliest = crossing.groupBy(
+        F.least("comp", "other").alias("c1"), F.greatest("comp", "other").alias("c2")
+    ).agg(F.min(F.struct("apart", "rep", "pivot")).alias("best")).select("best.rep", "best.pivot")
+    tried = likeliest.unionByName(crossing.filter("comp = rep").select("rep", "pivot"))
+    links, labels = _more_links(links, labels, tried, 2 * most, docs, doc_id, text, width, percent)
 
     # What is left between components: the likeliest pair of each two first, then all others.
     own = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
     rest, dense = _candidates(reps, rows.drop("pivot"), labels, own, width, similarity, percent)
     rest = materialize(rest, "rest")
+    most = rest.count()
     for more in dense:
         links = links.unionByName(more)
     if dense:
@@ -380,7 +424,7 @@ def near_duplicates(
             crossing = crossing.groupBy(
                 F.least("ca", "cb").alias("c1"), F.greatest("ca", "cb").alias("c2")
             ).agg(F.min(F.struct("apart", "a", "b")).alias("best")).select("best.a", "best.b")
-        links, labels = _more_links(links, labels, crossing.select("a", "b"), docs, doc_id, text, width, percent)
+        links, labels = _more_links(links, labels, crossing.select("a", "b"), most, docs, doc_id, text, width, percent)
 
     known = _with_components(classes, labels, "rep", "component_id").select(
         F.col("set_lo").alias("lo"), F.col("set_hi").alias("hi"), "component_id"

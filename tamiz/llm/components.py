@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.llm.base import in_few_tasks
 from tamiz.session import materialize
 
 
@@ -16,11 +17,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Edges from a node to itself and repeated edges change nothing; no edges give an empty result.
     """
     one_way = edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    both = materialize(
-        one_way.unionByName(one_way.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges"
-    )
+    most = 2 * one_way.count()  # of edges and of nodes
+    both = one_way.unionByName(one_way.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+    both = materialize(in_few_tasks(both, most), "edges")
     labels = both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("least"))
-    labels = materialize(labels.select("node", F.least("node", "least").alias("component")), "labels")
+    labels = labels.select("node", F.least("node", "least").alias("component"))
+    labels = materialize(in_few_tasks(labels, most), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(
             F.min("component").alias("near")
@@ -29,12 +31,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             "node", F.col("component").alias("old"), F.least("component", "near").alias("target")
         )
         jump = labels.select(F.col("node").alias("target"), F.col("component").alias("jumped"))
-        stepped = materialize(
-            lower.join(jump, "target").select(
-                "node", F.least("target", "jumped").alias("component"), "old"
-            ),
-            "labels",
-        )
+        stepped = lower.join(jump, "target").select("node", F.least("target", "jumped").alias("component"), "old")
+        stepped = materialize(in_few_tasks(stepped, most), "labels")
         labels = stepped.select("node", "component")
         if stepped.filter("component <> old").isEmpty():
             return labels
