@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm import bpe, chosen_path, mixing, random_index, unigram_language
-from tamiz.llm.base import held_out, keyed_rows, ship_package
+from tamiz.llm.base import held_out, keyed_rows, release_driver, ship_package
 from tamiz.session import materialize
 
 LEAST_LANGUAGE_SCORE = 0.5
@@ -92,4 +92,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release_driver(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

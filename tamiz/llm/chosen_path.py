@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.base import in_few_tasks, map_batches, release, texts
+from tamiz.llm.base import in_few_tasks, map_batches, release, release_driver, texts
 from tamiz.llm.components import components
 from tamiz.session import materialize
 
@@ -191,13 +191,17 @@ def confirm(
     return materialize(map_batches(joined, "text_b", run, "a long, b long"), "links")
 
 
-def _more_links(links, labels, pairs, most, docs, *options):
-    """Confirm further pairs; new links and components only where there are any."""
+def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Components with more links: the old ones come as stars, so their links need not be followed again."""
+    return components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
+def _more_links(labels, pairs, most, docs, *options):
+    """Confirm further pairs; new components only where there are any."""
     more = confirm(pairs, most, docs, *options)
-    if more.isEmpty():
-        return links, labels
-    links = links.unionByName(more)
-    return links, components(links)
+    labels = labels if more.isEmpty() else _joined(labels, more)
+    release_driver(docs.sparkSession)
+    return labels
 
 
 def _with_components(rows: DataFrame, labels: DataFrame | None, rep: str = "rep", name: str = "comp") -> DataFrame:
@@ -324,12 +328,14 @@ def _candidates(reps, rows, labels, texts_of, width: int, similarity: float, per
         dense = F.col("most") * 2 >= F.col("members")
         kind = F.when(few, "few").when(dense, "dense").otherwise("many")
         nodes = materialize(in_few_tasks(nodes.withColumn("kind", kind), n_rows), "nodes")
-        own = {r[0] for r in nodes.select("kind").distinct().collect()}
+        own = set(nodes.agg(F.collect_set("kind")).first()[0])  # three at most
         kinds |= own
         all_rows = rows if all_rows is None else all_rows.unionByName(rows)
         all_nodes = nodes if all_nodes is None else all_nodes.unionByName(nodes)
         if "many" not in own:
             break
+        if level % 3 == 2:
+            release_driver(rows.sparkSession)
         tokens = reps.select("rep", "sketch")
         grown = rows.join(nodes.filter("kind = 'many'").select("node"), "node").join(tokens, "rep")
         children = F.explode(_children(F.col("node"), F.col("sketch"), similarity))
@@ -393,6 +399,7 @@ def near_duplicates(
     rows = materialize(rows.join(shared.select("node", F.col("drawn.rep").alias("pivot")), "node"), "level-1")
 
     # Links to pivots: each set's likeliest, then the likeliest between components and all of sets still alone.
+    release_driver(docs.sparkSession)
     other = reps.select("rep", "n", *WORDS).alias("p")
     to_pivots = rows.filter("rep <> pivot").select("rep", "n", *WORDS, "pivot").distinct().alias("r")
     to_pivots = materialize(to_pivots.join(
@@ -400,31 +407,29 @@ def near_duplicates(
     ).select("r.rep", "r.pivot", _apart("r", "p").alias("apart")), "pivots")
     most = to_pivots.count()
     best = to_pivots.groupBy("rep").agg(F.min(F.struct("apart", "pivot")).alias("best"))
-    links = confirm(best.select("rep", "best.pivot"), most, docs, doc_id, text, width, percent)
-    labels = components(links)
+    labels = components(confirm(best.select("rep", "best.pivot"), most, docs, doc_id, text, width, percent))
     crossing = _with_components(_with_components(to_pivots, labels), labels, "pivot", "other").filter("comp <> other")
     likeliest = crossing.groupBy(
         F.least("comp", "other").alias("c1"), F.greatest("comp", "other").alias("c2")
     ).agg(F.min(F.struct("apart", "rep", "pivot")).alias("best")).select("best.rep", "best.pivot")
     tried = likeliest.unionByName(crossing.filter("comp = rep").select("rep", "pivot"))
-    links, labels = _more_links(links, labels, tried, 2 * most, docs, doc_id, text, width, percent)
+    labels = _more_links(labels, tried, 2 * most, docs, doc_id, text, width, percent)
 
     # What is left between components: the likeliest pair of each two first, then all others.
     own = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
     rest, dense = _candidates(reps, rows.drop("pivot"), labels, own, width, similarity, percent)
+    release_driver(docs.sparkSession)
     rest = materialize(rest, "rest")
     most = rest.count()
     for more in dense:
-        links = links.unionByName(more)
-    if dense:
-        labels = components(links)
+        labels = labels if more.isEmpty() else _joined(labels, more)
     for only_best in (True, False):
         crossing = _with_components(_with_components(rest, labels, "a", "ca"), labels, "b", "cb").filter("ca <> cb")
         if only_best:
             crossing = crossing.groupBy(
                 F.least("ca", "cb").alias("c1"), F.greatest("ca", "cb").alias("c2")
             ).agg(F.min(F.struct("apart", "a", "b")).alias("best")).select("best.a", "best.b")
-        links, labels = _more_links(links, labels, crossing.select("a", "b"), most, docs, doc_id, text, width, percent)
+        labels = _more_links(labels, crossing.select("a", "b"), most, docs, doc_id, text, width, percent)
 
     known = _with_components(classes, labels, "rep", "component_id").select(
         F.col("set_lo").alias("lo"), F.col("set_hi").alias("hi"), "component_id"
