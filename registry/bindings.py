@@ -7,11 +7,13 @@ repeated keys, so that the cleaners have work to do on every row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from registry.base import table
 from tamiz.plans.cleaning import ROW_ORDER, clean_dataset
-from tamiz.session import COMPACT, build_together, materialize
+from tamiz.session import COMPACT, build_together, looked_up, materialize
 
 
 def _day_first(expr: str) -> str:
@@ -136,22 +138,30 @@ _JOINS = {
 
 
 def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One raw dataset as a lazy frame."""
+    """One raw dataset as a lazy frame. The tables after the first are looked up."""
     tables, text = RAW[name]
     if name in _JOINS:
         text = text[:text.index("FROM {")] + _JOINS[name]
-    return spark.sql(text, **{t: table(spark, folder, t) for t in tables})
+    frames = {t: table(spark, folder, t) for t in tables}
+    return spark.sql(text, **{t: df if t == tables[0] else looked_up(df) for t, df in frames.items()})
 
 
 def cleaned(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return clean_dataset(name, raw(spark, folder, name))
 
 
+def _at_once(spark: SparkSession, folder: str, names: Sequence[str]) -> int:
+    """One dataset at a time where a table's scan fills the cluster by itself: side by side nothing would be
+    faster, and the shuffle files of all datasets would be there at once."""
+    scans = (table(spark, folder, t).select("*").rdd.getNumPartitions() for t in {t for n in names for t in RAW[n][0]})
+    return 1 if max(scans) > spark.sparkContext.defaultParallelism else 8
+
+
 def stored(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
     """Cleaned datasets, each written once and read by several builders."""
     return build_together(spark, {
         n: lambda n=n: materialize(cleaned(spark, folder, n), f"cleaned-{n}", **COMPACT) for n in names
-    })
+    }, _at_once(spark, folder, names))
 
 
 def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -161,7 +171,7 @@ def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         n: lambda n=n: materialize(
             cleaned(spark, folder, n).drop(*([ROW_ORDER] if n == "experiencias" else [])), f"cleaned-{n}", **COMPACT
         ) for n in names
-    })
+    }, _at_once(spark, folder, names))
 
 
 def raw_sql(name: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions import short_key
-from tamiz.session import COMPACT, materialize
+from tamiz.session import COMPACT, looked_up, materialize
 
 _POSITION, _KNOWN, _OWN = "__position", "__known", "__own"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
@@ -24,7 +24,8 @@ def assign_surrogate_key(
     The rows are sorted across the cluster and written once together with their
     position, so no task sees the whole table and a later re-read cannot
     renumber. Only one count per sorted partition reaches the driver.
-    ``order_by`` has to be unique for the keys to be reproducible.
+    ``order_by`` has to be unique for the keys to be reproducible. Joins that look up the result do not
+    broadcast it where it has too many rows (see ``looked_up``).
     """
     ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     placed = materialize(
@@ -42,9 +43,10 @@ def assign_surrogate_key(
     # One constant array; a long chain of literals would bloat the plan.
     first_keys = F.split(F.lit(",".join(offsets or [str(start)])), ",").cast("array<bigint>")
     row_in_block = F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return placed.select(
+    numbered = placed.select(
         (F.get(first_keys, block) + row_in_block).alias(sk_name), *df.columns
     )
+    return looked_up(numbered, before - start)
 
 
 @dataclass(frozen=True)
@@ -71,14 +73,14 @@ def extend_keys(
     later = incoming.select(key, *[c for c in attributes if c in incoming.columns])
     texts = all(isinstance(df.schema[key].dataType, T.StringType) for df in (known, incoming))
     short = short_key if texts else lambda col: col
-    mine = known.select(short(F.col(key)).alias(_KNOWN))
+    held = known.agg(F.greatest(F.coalesce(F.max(sk_name), F.lit(0)), F.lit(0)).alias("last"), F.count(F.lit(1)).alias("rows")).first()
+    mine = looked_up(known.select(short(F.col(key)).alias(_KNOWN)), held["rows"])
     named = later.withColumn(_OWN, short(F.col(key)))
     new = named.join(mine, named[_OWN].eqNullSafe(mine[_KNOWN]), "left_anti").drop(_OWN)
-    last = known.agg(F.greatest(F.coalesce(F.max(sk_name), F.lit(0)), F.lit(0)).alias("last")).first()["last"]
-    added = assign_surrogate_key(new, sk_name, [key], start=int(last) + 1)
+    added = assign_surrogate_key(new, sk_name, [key], start=int(held["last"]) + 1)
     added = known.limit(0).unionByName(added, allowMissingColumns=True)
     if changed == "keep" or not attributes:
-        return KeyMap(known.unionByName(added), added)
+        return KeyMap(looked_up(known.unionByName(added)), added)
     present = [c for c in attributes if c in incoming.columns]
     other = later.select(F.col(key).alias(_KNOWN), F.lit(True).alias(_POSITION), *[F.col(c).alias(f"__{c}") for c in present])
     joined = known.join(other, known[key].eqNullSafe(other[_KNOWN]), "left")
@@ -86,4 +88,4 @@ def extend_keys(
         F.when(F.col(_POSITION), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in present else F.col(c)
         for c in known.columns
     ])
-    return KeyMap(updated.unionByName(added), added)
+    return KeyMap(looked_up(updated.unionByName(added), held["rows"] + added.count()), added)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tamiz.functions import short_key
 from tamiz.schemas import Table
-from tamiz.session import materialize
+from tamiz.session import drop_stored, looked_up, materialize
 
 ROW_RULES = ("casts", "not_null", "max_length", "valid")
 ALL_RULES = (*ROW_RULES, "unique", "references")
@@ -21,10 +21,17 @@ _ROW, _BROKEN, _CELLS, _GIVEN, _PLACE = "__row", "broken", "__cells", "__given",
 
 @dataclass(frozen=True)
 class Quarantine:
-    """``good``: rows in the table's types, with its defaults. ``rejects``: rows as given, and ``broken``."""
+    """``good``: rows in the table's types, with its defaults. ``rejects``: rows as given, and ``broken``.
+
+    ``stored`` are the tables that both read; ``drop`` deletes them once good rows and rejects are written.
+    """
 
     good: DataFrame
     rejects: DataFrame
+    stored: tuple[DataFrame, ...] = ()
+
+    def drop(self) -> None:
+        drop_stored(*self.stored)
 
     def report(self) -> DataFrame:
         """rule, column, rows: how many rejects break what."""
@@ -34,12 +41,15 @@ class Quarantine:
         ).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _cells(df: DataFrame, table: Table) -> tuple[list[Column], list[Column]]:
-    """The table's cells, and for each column what a value that does not fit its type is called."""
+def _cells(df: DataFrame, table: Table, place: str = "") -> tuple[list[Column], list[Column]]:
+    """The table's cells, and for each column what a value that does not fit its type is called.
+
+    ``place`` is what stands before the names of ``df`` where its rows are held in a struct.
+    """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     cells, lost = [], []
     for c in table.columns:
-        given = F.col(c.name) if c.name in kinds else F.lit(None).cast(c.type)
+        given = F.col(place + c.name) if c.name in kinds else F.lit(None).cast(c.type)
         taken = given.try_cast(c.type)
         bad = given.isNotNull() & taken.isNull()
         if isinstance(kinds.get(c.name), T.NumericType) and isinstance(c.type, T.NumericType):
@@ -100,8 +110,16 @@ def quarantine(
     rows are joined and stored once more only where one breaks such a rule. References meet their dimension by
     distinct keys. So a value that a third of the rows share is neither gathered nor multiplied.
     """
-    judged = judge(df, table, rules, valid)
-    stored = materialize(judged.withColumn(_ROW, F.monotonically_increasing_id()), f"judged-{table.name}")
+    used: list[DataFrame] = []
+
+    def keep(frame: DataFrame, label: str) -> DataFrame:
+        used.append(materialize(frame, label))
+        return used[-1]
+
+    # Rows are stored as given; cells are made of them again wherever they are read.
+    in_types = F.struct(*_cells(df, table, f"{_GIVEN}.")[0]).alias(_CELLS)
+    judged = judge(df, table, rules, valid).select(_GIVEN, _BROKEN, F.monotonically_increasing_id().alias(_ROW))
+    stored = keep(judged, f"judged-{table.name}").select("*", in_types)
     cells = stored.select(_ROW, F.size(_BROKEN).alias("__n"), f"{_CELLS}.*")
     faults = []
     unique = table.names(unique=True) if "unique" in rules else []
@@ -113,9 +131,10 @@ def quarantine(
             held = sound.filter(cell.isNotNull()).withColumn("__value", short_key(cell) if text else cell)
             # Whole rows are compared only where a value repeats.
             counted = held.groupBy("__value").agg(F.count(F.lit(1)).alias("n"))
-            repeated = materialize(counted.filter("n > 1").select("__value"), f"repeated-{c}")
+            repeated = keep(counted.filter("n > 1").select("__value"), f"repeated-{c}")
             broken = []
             if not repeated.isEmpty():
+                repeated = looked_up(repeated)
                 rows = held.select("__value", F.struct(*order, _ROW).alias(_PLACE), _ROW).join(repeated, "__value", "left_semi")
                 firsts = rows.groupBy("__value").agg(F.min(_PLACE).alias(_PLACE))
                 kept = firsts.select(F.col(f"{_PLACE}.{_ROW}").alias(_ROW))
@@ -123,31 +142,33 @@ def quarantine(
             if known is not None:
                 earlier = F.col(c).cast(table_type(table, c))
                 taken = known.select((short_key(earlier) if text else earlier).alias("__value")).distinct()
-                broken.append(held.select("__value", _ROW).join(taken, "__value", "left_semi").select(_ROW))
+                broken.append(held.select("__value", _ROW).join(looked_up(taken, known.count()), "__value", "left_semi").select(_ROW))
             if broken:
                 faults.append(reduce(DataFrame.unionByName, broken).distinct().withColumn("rule", F.lit(f"unique:{c}")))
     if "references" in rules:
         for c, (parent, key) in table.references.items():
             if parents is None or parent not in parents:
                 continue
-            lacking = cells.filter(F.col(c).isNotNull()).select(c).distinct().join(
-                parents[parent].select(F.col(key).cast(table_type(table, c)).alias(c)), c, "left_anti"
-            )
-            hit = cells.select(_ROW, c).join(lacking, c, "left_semi")
+            members = looked_up(parents[parent].select(F.col(key).cast(table_type(table, c)).alias(c)))
+            lacking = cells.filter(F.col(c).isNotNull()).select(c).distinct().join(members, c, "left_anti")
+            lacking = keep(lacking, f"lacking-{c}")
+            if lacking.isEmpty():
+                continue
+            hit = cells.select(_ROW, c).join(looked_up(lacking), c, "left_semi")
             faults.append(hit.select(_ROW, F.lit(f"references:{c}").alias("rule")))
     if faults:
         every = reduce(DataFrame.unionByName, faults)
         more = every.groupBy(_ROW).agg(F.sort_array(F.collect_list("rule")).alias("__more"))
-        more = materialize(more, f"faults-{table.name}")
+        more = keep(more, f"faults-{table.name}")
         if more.isEmpty():
             faults = []
     if faults:
         both = F.concat(_BROKEN, F.coalesce("__more", F.array().cast("array<string>")))
-        joined = stored.join(more, _ROW, "left").select(_GIVEN, _CELLS, both.alias(_BROKEN))
-        stored = materialize(joined, f"quarantine-{table.name}")
+        joined = stored.join(looked_up(more), _ROW, "left").select(_GIVEN, both.alias(_BROKEN))
+        stored = keep(joined, f"quarantine-{table.name}").select("*", in_types)
     fine = F.size(_BROKEN) == 0
     return Quarantine(
-        stored.filter(fine).select(f"{_CELLS}.*"), stored.filter(~fine).select(f"{_GIVEN}.*", _BROKEN)
+        stored.filter(fine).select(f"{_CELLS}.*"), stored.filter(~fine).select(f"{_GIVEN}.*", _BROKEN), tuple(used)
     )
 
 

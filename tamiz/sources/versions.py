@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tamiz.operators.quarantine import ALL_RULES, Quarantine, quarantine
 from tamiz.schemas import WAREHOUSE, Table
-from tamiz.session import COMPACT, build_together
+from tamiz.session import COMPACT, build_together, shuffles_dropped
 
 MODES = ("append", "replace")
 
@@ -181,6 +181,7 @@ class VersionedWarehouse:
                 rejects[name] = (*rejects.get(name, ()), place)
             place = f"{name}/{attempt}"
             self._write(split.good, f"{self.path}/data/{place}")
+            split.drop()
             earlier = folders.get(name, ()) if modes[name] == "append" else ()
             folders[name] = (*earlier, place)
             good[name] = self.spark.read.schema(self.schemas[name].struct).parquet(f"{self.path}/data/{place}")
@@ -199,7 +200,8 @@ class VersionedWarehouse:
 
     @staticmethod
     def _write(df: DataFrame, path: str) -> None:
-        df.write.options(**COMPACT).parquet(path)
+        with shuffles_dropped(df.sparkSession):
+            df.write.options(**COMPACT).parquet(path)
 
     def _judged(self, name, df, base, modes, good, rules, order_by) -> Quarantine:
         table = self.schemas[name]

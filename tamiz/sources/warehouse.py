@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tamiz.operators.quality import check_max_length, check_not_null, check_unique
 from tamiz.schemas import LOAD_ORDER, WAREHOUSE, Table, conform, conform_rejects
-from tamiz.session import COMPACT, materialize
+from tamiz.session import COMPACT, drop_stored, materialize
 
 # What a load can be held to: values fit their types, no nulls, no repeats, no over-long texts.
 RULES = ("casts", "not_null", "unique", "max_length")
@@ -84,6 +84,7 @@ def load_warehouse(
     for name in order:
         df = conform(stored[name], WAREHOUSE[name]) if name in WAREHOUSE else stored[name]
         df.write.mode("append").format("parquet").options(**COMPACT).saveAsTable(f"{database}.{name}")
+        drop_stored(stored[name])
     return list(order)
 
 

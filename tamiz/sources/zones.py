@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamiz.session import COMPACT
+from tamiz.session import COMPACT, shuffles_dropped
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -48,10 +48,11 @@ def write_cleaned(
     """Write one table of a zone as Parquet, or as CSV for other tools."""
     path = f"{folder}/{name}"
     out = df.drop(*drop)
-    if csv:
-        out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-    else:
-        out.write.mode("overwrite").options(**COMPACT).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        if csv:
+            out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        else:
+            out.write.mode("overwrite").options(**COMPACT).parquet(path)
     return path
 
 
